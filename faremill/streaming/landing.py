@@ -1,0 +1,60 @@
+"""The landing step as a file stream: each landed file is converted once, then removed."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from faremill.schemas import CONVERTED, SOURCE_FILE
+from faremill.sources.landing import ANY_CASE_CSV, SCAN_OPTIONS, SCAN_SCHEMA, list_files
+from faremill.storage import delete_files, stored
+
+FILES_PER_BATCH = 10_000
+
+
+def landing_stream(
+    spark: SparkSession, root: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """S1 as a stream; files of committed batches are deleted while it runs."""
+    rows = (
+        spark.readStream.schema(SCAN_SCHEMA)
+        .options(
+            **SCAN_OPTIONS,
+            pathGlobFilter=ANY_CASE_CSV,
+            enforceSchema=False,
+            cleanSource="delete",
+            maxFilesPerTrigger=files_per_batch,
+        )
+        .csv(root)
+    )
+    return rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path")).select(
+        *CONVERTED.fieldNames()
+    )
+
+
+def consume_landing(
+    spark: SparkSession,
+    root: str,
+    path: str,
+    checkpoint: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> int:
+    """K1 and K7: converts all files present, once each, and leaves none of them behind.
+
+    The source cleans up only behind the batch it works on, so the last files would stay.
+    Every file listed before the start belongs to the run, and the listing is deleted once
+    the run has committed. Returns the number of files that were still there.
+    """
+    csv_files = list_files(spark, root).filter(F.col("action") == "csv").select("path")
+    with stored(spark, csv_files, "landing") as listed:
+        query = (
+            landing_stream(spark, root, files_per_batch)
+            .writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .option("compression", "snappy")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return delete_files(spark, (row.path for row in listed.toLocalIterator()))
