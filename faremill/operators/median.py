@@ -4,14 +4,19 @@ The approximate form is one mergeable sketch per route. It is kept apart from th
 route metrics on purpose: together with the distinct airline count Spark would have to
 shuffle a sketch for every (route, airline) pair instead of one for every route.
 
-The exact form never holds the prices of a route in one place. It counts per (route,
-price) first, then finds the price band that holds the middle rank, then the price within
-that band. A DECIMAL(10,2) has fewer than 2 * 10^5 bands of 1,000.00 and 10^5 prices per
-band, which bounds every window below however many rows the route has.
+The exact form never holds the prices of a route in one place. A first pass counts prices
+per (route, band of 1,000.00) and finds the band that holds the middle rank. A second pass
+keeps the prices of those bands only, counts equal ones and finds the middle one. A
+DECIMAL(10,2) has at most 2 * 10^5 bands and 2 * 10^5 prices in a band (the one around zero),
+which bounds every window below however many rows a route has, and both counts fold within
+the input tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,38 +33,43 @@ def approx_medians(silver: DataFrame) -> DataFrame:
     )
 
 
-def exact_medians(silver: DataFrame) -> DataFrame:
-    """Element of rank ceil(n / 2) among the non-NULL prices of each route."""
-    priced = silver.select(*ROUTE, "Price").filter(F.col("Price").isNotNull())
-    counts = (
-        priced.groupBy(*ROUTE, "Price")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("band", F.floor(F.col("Price") / BAND_WIDTH).cast("int"))
-    )
+def _priced(silver: DataFrame) -> DataFrame:
+    band = (F.col("Price").cast("int") / BAND_WIDTH).cast("int")
+    return silver.filter(F.col("Price").isNotNull()).select(*ROUTE, "Price", band.alias("band"))
 
-    bands = counts.groupBy(*ROUTE, "band").agg(F.sum("copies").alias("copies"))
-    per_route = Window.partitionBy(*ROUTE)
-    middle_bands = (
-        bands.withColumn("target", F.ceil(F.sum("copies").over(per_route) / 2))
-        .withColumn("before", _running_before(per_route.orderBy("band")))
+
+def middle_bands(silver: DataFrame) -> DataFrame:
+    """The band with the median of each route, and the rank wanted within that band."""
+    copies = _priced(silver).groupBy(*ROUTE, "band").agg(F.count("*").alias("copies"))
+    upwards = Window.partitionBy(*ROUTE).orderBy("band")
+    whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        copies.withColumn("target", F.ceil(F.sum("copies").over(whole) / 2))
+        .withColumn("before", _running_before(upwards))
         .filter(_holds_target())
-        .select(
-            F.col("Source").alias("s"),
-            F.col("Destination").alias("d"),
-            F.col("band").alias("b"),
-            (F.col("target") - F.col("before")).alias("target"),
-        )
+        .select(*ROUTE, "band", (F.col("target") - F.col("before")).alias("target"))
     )
 
-    same_band = (
-        F.col("Source").eqNullSafe(F.col("s"))
-        & F.col("Destination").eqNullSafe(F.col("d"))
-        & (F.col("band") == F.col("b"))
+
+def exact_medians(silver: DataFrame, middle: DataFrame | None = None) -> DataFrame:
+    """Element of rank ceil(n / 2) among the non-NULL prices of each route.
+
+    ``middle`` may be ``middle_bands`` already stored. Its size is known then, and the join
+    below is planned as a broadcast when it is small, and as a shuffle when it is not.
+    """
+    wanted = (middle_bands(silver) if middle is None else middle).toDF("s", "d", "b", "target")
+    same_band = reduce(
+        and_, [F.col(left).eqNullSafe(F.col(right)) for left, right in zip([*ROUTE, "band"], "sdb")]
+    )
+    copies = (
+        _priced(silver)
+        .join(wanted, same_band)
+        .groupBy(*ROUTE, "target", "Price")
+        .agg(F.count("*").alias("copies"))
     )
-    within_band = Window.partitionBy(*ROUTE).orderBy("Price")
+    upwards = Window.partitionBy(*ROUTE).orderBy("Price")
     return (
-        counts.join(middle_bands, same_band)
-        .withColumn("before", _running_before(within_band))
+        copies.withColumn("before", _running_before(upwards))
         .filter(_holds_target())
         .select(*ROUTE, F.col("Price").alias("median_price"))
     )

@@ -18,12 +18,17 @@ def dim_airlines(silver: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     return stamped.select(*[F.col(name).alias(name) for name in DIM_AIRLINES.fieldNames()])
 
 
-def dim_routes(silver: DataFrame, cube: DataFrame | None = None, exact: bool = False) -> DataFrame:
-    """C4, unordered. ``exact`` swaps the median sketch for the exact lower median."""
+def dim_routes(
+    silver: DataFrame,
+    cube: DataFrame | None = None,
+    exact: bool = False,
+    middle: DataFrame | None = None,
+) -> DataFrame:
+    """C4, unordered. ``exact`` swaps the median sketch for the exact lower median, which
+    takes stored ``middle`` bands."""
     stats = route_price_stats(route_cube(silver) if cube is None else cube)
-    medians = (exact_medians if exact else approx_medians)(silver).withColumnsRenamed(
-        {"Source": "s", "Destination": "d"}
-    )
+    medians = exact_medians(silver, middle) if exact else approx_medians(silver)
+    medians = medians.withColumnsRenamed({"Source": "s", "Destination": "d"})
     same_route = F.col("Source").eqNullSafe(F.col("s")) & F.col("Destination").eqNullSafe(F.col("d"))
     joined = stats.join(medians, same_route, "left").withColumns(
         {
