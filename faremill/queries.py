@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.functions import parsing
@@ -47,11 +47,12 @@ def _of_cube(build: Callable[[DataFrame], DataFrame]) -> Query:
     return _of_silver(lambda flights: build(cube.route_cube(flights)))
 
 
-def _of_text(column: str, *outputs: F.Column, dirty: bool = True) -> Query:
-    """A query over one raw text column; only the tables behind that column are read."""
+def _of_text(column: str, parse: Callable[[Column], Column], names: str, dirty: bool = True) -> Query:
+    """A raw text column beside its parsed form; only the tables behind it are read."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return raw_flights(spark, folder, [column], dirty=dirty).select(*outputs)
+        text = F.col(column)
+        return raw_flights(spark, folder, [column], dirty=dirty).select(text, parse(text)).toDF(*names.split())
 
     return run
 
@@ -237,33 +238,21 @@ def rollback(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    stops = F.col("Total_Stops")
-    stops_text = stops.alias("stops_text")
     return {
         "bronze_raw_scan": bronze_raw_scan,
         "bronze_stamp": bronze_stamp,
         "silver_dedup": lambda spark, folder: silver.distinct_flights(_bronze(spark, folder)),
         "silver_select": lambda spark, folder: silver.business_columns(_bronze(spark, folder)),
-        "silver_dates": _of_text(
-            "Date_of_Journey",
-            F.col("Date_of_Journey").alias("date_text"),
-            parsing.journey_date(F.col("Date_of_Journey")).alias("journey_date"),
-        ),
-        "silver_duration": _of_text(
-            "Duration",
-            F.col("Duration").alias("duration_text"),
-            parsing.duration_minutes(F.col("Duration")).alias("minutes"),
-        ),
-        "silver_stops": _of_text("Total_Stops", stops_text, parsing.stop_count(stops).alias("stops")),
+        "silver_dates": _of_text("Date_of_Journey", parsing.journey_date, "date_text journey_date"),
+        "silver_duration": _of_text("Duration", parsing.duration_minutes, "duration_text minutes"),
+        "silver_stops": _of_text("Total_Stops", parsing.stop_count, "stops_text stops"),
         "silver_direct": _of_text(
             "Total_Stops",
-            stops_text,
-            parsing.is_direct(parsing.stop_count(stops)).alias("is_direct"),
+            lambda text: parsing.is_direct(parsing.stop_count(text)),
+            "stops_text is_direct",
             dirty=False,
         ),
-        "silver_price": _of_text(
-            "Price", F.col("Price").alias("price_text"), parsing.fare(F.col("Price")).alias("fare")
-        ),
+        "silver_price": _of_text("Price", parsing.fare, "price_text fare"),
         "silver_flights": _of_silver(lambda flights: flights),
         "silver_flights_dirty": _of_silver(lambda flights: flights, dirty=True),
         "silver_rejects": silver_rejects(dirty=False),
