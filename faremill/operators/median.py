@@ -33,14 +33,19 @@ def approx_medians(silver: DataFrame) -> DataFrame:
     )
 
 
-def _priced(silver: DataFrame) -> DataFrame:
+def _banded(silver: DataFrame) -> DataFrame:
     band = (F.col("Price").cast("int") / BAND_WIDTH).cast("int")
-    return silver.filter(F.col("Price").isNotNull()).select(*ROUTE, "Price", band.alias("band"))
+    return silver.select(*ROUTE, "Price", band.alias("band"))
 
 
 def middle_bands(silver: DataFrame) -> DataFrame:
-    """The band with the median of each route, and the rank wanted within that band."""
-    copies = _priced(silver).groupBy(*ROUTE, "band").agg(F.count("*").alias("copies"))
+    """The band with the median of each route, and the rank wanted within that band.
+
+    Missing prices make a band of zero copies, which no rank can fall into. A filter would
+    be pushed below the dedup that silver comes from, and that shuffle could no longer be
+    shared with the other route metrics.
+    """
+    copies = _banded(silver).groupBy(*ROUTE, "band").agg(F.count("Price").alias("copies"))
     upwards = Window.partitionBy(*ROUTE).orderBy("band")
     whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
@@ -62,7 +67,7 @@ def exact_medians(silver: DataFrame, middle: DataFrame | None = None) -> DataFra
         and_, [F.col(left).eqNullSafe(F.col(right)) for left, right in zip([*ROUTE, "band"], "sdb")]
     )
     copies = (
-        _priced(silver)
+        _banded(silver)
         .join(wanted, same_band)
         .groupBy(*ROUTE, "target", "Price")
         .agg(F.count("*").alias("copies"))

@@ -46,22 +46,26 @@ def land(spark: SparkSession, root: str, warehouse: Warehouse, run_id: str | Non
     """
     run_id = run_id or uuid.uuid4().hex
     target = f"{warehouse.converted}/run_id={run_id}"
-    with stored(spark, landing.manifest(spark, root), "manifest") as files:
+    with ExitStack() as folders:
+        listing = folders.enter_context(stored(spark, landing.list_files(spark, root), "listing"))
+        files = folders.enter_context(stored(spark, landing.manifest(listing), "manifest"))
         layouts = landing.convert(spark, root, files, target)
         outcomes = landing.file_outcomes(spark, files, target, layouts)
-        with stored(spark, outcomes.withColumn("run_id", F.lit(run_id)), "outcomes") as done:
-            tables.append(done, warehouse, "ops.ingest_files")
-            record = run_record(done).withColumn("run_id", F.lit(run_id))
-            tables.append(record, warehouse, "ops.ingest_runs")
-            verdict = run_gate(done).first()
-            if verdict["verdict"] == "fail":
-                delete_path(spark, target)
-                messages = [row["message"] for row in first_errors(done).collect()]
-                raise IngestFailed(
-                    f"{verdict['files_processed']} files processed, {verdict['errors']} errors: "
-                    + "; ".join(messages)
-                )
-            landing.consume(spark, done)
+        done = folders.enter_context(
+            stored(spark, outcomes.withColumn("run_id", F.lit(run_id)), "outcomes")
+        )
+        tables.append(done, warehouse, "ops.ingest_files")
+        record = run_record(done).withColumn("run_id", F.lit(run_id))
+        tables.append(record, warehouse, "ops.ingest_runs")
+        verdict = run_gate(done).first()
+        if verdict["verdict"] == "fail":
+            delete_path(spark, target)
+            messages = [row["message"] for row in first_errors(done).collect()]
+            raise IngestFailed(
+                f"{verdict['files_processed']} files processed, {verdict['errors']} errors: "
+                + "; ".join(messages)
+            )
+        landing.consume(spark, done)
     return run_id
 
 

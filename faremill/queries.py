@@ -191,7 +191,7 @@ def landing_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """S4, K4, K11 over real files: the outcome of each landed file."""
     root = _land_files(spark, folder)
     path = scratch_path(spark, "converted")
-    files = landing.manifest(spark, root)
+    files = landing.manifest(landing.list_files(spark, root))
     layouts = landing.convert(spark, root, files, path)
     return landing.file_outcomes(spark, files, path, layouts).drop("path")
 

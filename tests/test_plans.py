@@ -89,6 +89,11 @@ def test_converted_scan_pushes_the_malformed_filter(spark):
     assert "IsNull(malformed_record)" in plan(landing.read_converted(spark, path))
 
 
+def test_headers_are_found_by_hash_aggregate(spark):
+    text = plan(landing.headers(spark, "/root/testdata/sf0.001", "*.parquet"))
+    assert "SortAggregate" not in text and "Sort " not in text
+
+
 def test_narrow_columns_read_few_tables(spark):
     folder = "/root/testdata/sf0.001"
     assert len(read_columns(plan(raw_flights(spark, folder, ["Price"])))) == 1
