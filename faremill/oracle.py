@@ -282,6 +282,11 @@ def oracle_sql() -> dict[str, str]:
             listing=LISTING,
             routed=ROUTED,
         ),
+        "landing_manifest": _with(
+            "SELECT 'csv' AS action, 'ok' AS status, count(*) AS rows_landed, "
+            "CAST(0 AS BIGINT) AS malformed_rows FROM raw",
+            **raw,
+        ),
         "report_tables": _silver(ROUTES),
         "landing_consume": _with("SELECT count(*) AS rows_landed, 0 AS files_left FROM raw", **raw),
         "pipeline_report": _silver(AIRLINES, **airlines),

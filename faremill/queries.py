@@ -188,12 +188,15 @@ def landing_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landing_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """S4, K4, K11 over real files: the outcome of each landed file."""
+    """S4, K4, K11 over real files: outcomes per file, added up by action and status."""
     root = _land_files(spark, folder)
     path = scratch_path(spark, "converted")
     files = landing.manifest(landing.list_files(spark, root))
     layouts = landing.convert(spark, root, files, path)
-    return landing.file_outcomes(spark, files, path, layouts).drop("path")
+    outcomes = landing.file_outcomes(spark, files, path, layouts)
+    return outcomes.groupBy("action", "status").agg(
+        F.sum("row_count").alias("rows_landed"), F.sum("malformed_rows").alias("malformed_rows")
+    )
 
 
 def landing_consume(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,8 +24,21 @@ NEEDS = {
 }
 
 
+# The columns used here, declared so that no file is opened while a query is built.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_size int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _places(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
@@ -38,8 +51,16 @@ def _places(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     )
 
 
-def _joined(spark: SparkSession, folder: str, lookups: set[str]) -> DataFrame:
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The line items, spread out only when the file gives fewer tasks than there are cores,
+    which a table of any size never does."""
     lines = _table(spark, folder, "lineitem")
+    cores = spark.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
+def _joined(spark: SparkSession, folder: str, lookups: set[str]) -> DataFrame:
+    lines = _lines(spark, folder)
     if "part" in lookups:
         lines = lines.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if "supplier" in lookups:
