@@ -258,7 +258,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_first_errors": _with(
             "SELECT 'event ' || event_id AS path, value || ' in event ' || event_id AS message "
             "FROM status WHERE status = 'error' ORDER BY 1 LIMIT 3",
-            status="SELECT event_id, CAST(CAST(value AS INTEGER) AS VARCHAR) AS value, "
+            status="SELECT event_id, CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) AS value, "
             "CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status FROM events",
         ),
         "ingest_runs": _with(

@@ -136,7 +136,7 @@ def _statuses(spark: SparkSession, folder: str) -> DataFrame:
         F.floor("value").alias("malformed_rows"),
         F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("path"),
         F.concat_ws(
-            " ", F.round("value").cast("int").cast("string"), F.lit("in event"), F.col("event_id").cast("string")
+            " ", F.floor("value").cast("string"), F.lit("in event"), F.col("event_id").cast("string")
         ).alias("message"),
     )
 

@@ -80,6 +80,10 @@ def test_stored_frames_are_read_back_and_removed(spark):
     assert file_count(spark, place) == 0
 
 
+def test_scratch_lies_in_the_folder_the_session_names(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_whole_pipeline_twice_gives_the_same_gold(spark, warehouse, flights):
     changes = [{"Airline": a, "Source": s, "Price": p} for a in "XYZ" for s in "AB" for p in "123"]
     results = []
