@@ -6,19 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import ngram_join, oracle
+from faremill.llm import decontamination, ngram_join, oracle, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules.judged(_table(spark, sf_dir, "documents"), trusted)
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontamination.contained_items(docs, items).drop("doc_row", "text_key")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_ngram_join,)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
