@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontamination, ngram_join, oracle, quality_rules, secrets
+from faremill.llm import decontamination, ngram_join, oracle, quality_model, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +27,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(docs, items).drop("doc_row", "text_key")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op10_ngram_join)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op6_quality_classifier, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
