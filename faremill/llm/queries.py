@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontamination, ngram_join, oracle, quality_model, quality_rules, secrets, url_filters
+from faremill.llm import decontamination, html_text, ngram_join, oracle, quality_model, quality_rules, secrets, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf_dir, "pages"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page shows the document whose number ends its path, so that document's label is the page's."""
     labels = _table(spark, sf_dir, "labels").selectExpr("doc_id AS url_key", "quality = 1 AS good")
@@ -42,7 +46,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op6_quality_classifier, op9_url_filters, op10_ngram_join)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op6_quality_classifier, op7_html_extraction, op9_url_filters, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
