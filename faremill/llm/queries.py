@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontamination, html_text, ngram_join, oracle, quality_model, quality_rules, secrets, url_filters
+from faremill.llm import decontamination, html_text, ngram_join, oracle, quality_model, quality_rules, secrets, sentencepieces, url_filters
+
+
+#: A SentencePiece model that the driver can read; its content is broadcast.
+MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +40,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_table(spark, sf_dir, "pages"))
 
 
+def op8_sentencepieces(spark: SparkSession, sf_dir: str, model_file: str = MODEL_FILE) -> DataFrame:
+    return sentencepieces.encoded(_table(spark, sf_dir, "documents"), Path(model_file).read_bytes())
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page shows the document whose number ends its path, so that document's label is the page's."""
     labels = _table(spark, sf_dir, "labels").selectExpr("doc_id AS url_key", "quality = 1 AS good")
@@ -46,7 +55,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op6_quality_classifier, op7_html_extraction, op9_url_filters, op10_ngram_join)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op6_quality_classifier, op7_html_extraction, op8_sentencepieces, op9_url_filters, op10_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
