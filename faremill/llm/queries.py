@@ -7,7 +7,19 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faremill.llm import decontamination, html_text, ngram_join, oracle, quality_model, quality_rules, secrets, sentencepieces, url_filters
+from faremill.llm import (
+    decontamination,
+    feistel,
+    html_text,
+    ngram_join,
+    oracle,
+    quality_model,
+    quality_rules,
+    secrets,
+    sentencepieces,
+    url_filters,
+    warc,
+)
 
 
 #: A SentencePiece model that the driver can read; its content is broadcast.
@@ -18,6 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(_table(spark, sf_dir, "pages")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_rules.judged(_table(spark, sf_dir, "documents"), trusted)
@@ -27,6 +43,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel.sharded(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.contained_items(docs, items).drop("doc_row", "text_key")
@@ -55,7 +75,21 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_secret_scans, op5_decontamination, op6_quality_classifier, op7_html_extraction, op8_sentencepieces, op9_url_filters, op10_ngram_join)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_warc_derivatives,
+            op2_quality_rules,
+            op3_secret_scans,
+            op4_sharding,
+            op5_decontamination,
+            op6_quality_classifier,
+            op7_html_extraction,
+            op8_sentencepieces,
+            op9_url_filters,
+            op10_ngram_join,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
