@@ -2,8 +2,8 @@
 
 Segments that are numbers, dates, hashes and the like become typed wildcards row by row; what is left is folded into one
 row per host and path before any tree work. Then, level by level, rare children of a node with many of them become
-one wildcard, and siblings that lead to the same kind of path and whose shares of bad labels do not differ
-significantly are merged. Every template's share of bad labels is smoothed towards that of its host, and that towards
+one wildcard; siblings that lead to the same kind of path are ordered by their share of bad labels, and neighbours whose
+shares do not differ significantly are merged. Siblings without labels are merged with each other. Every template's share of bad labels is smoothed towards that of its host, and that towards
 the corpus. Everything runs on DataFrame functions.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from faremill.llm.store import saved
 
@@ -20,7 +21,7 @@ RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block"
 DEPTH = 8
 #: A node with more children than this has the rare ones generalised: those below this share of its rows.
 MANY_CHILDREN, RARE_SHARE = 20, 0.05
-#: Standard errors up to which the bad share of a branch counts as that of its siblings.
+#: Standard errors up to which the bad shares of two branches count as the same.
 SIMILAR = 1.96
 #: Labelled rows that the prior of a template weighs, and the purity below which a template is rejected.
 PRIOR, PURITY = 8.0, 0.5
@@ -87,7 +88,8 @@ def _level(tree: DataFrame, level: int) -> DataFrame:
     """``tree`` with the segment of one level generalised and put to the end of its template."""
     node = ["host", "template"]
     rows = tree.withColumn("child", F.get("segs", F.lit(level)))
-    tail = F.array_join(F.slice("segs", level + 2, DEPTH + 1), "/")
+    kinds = F.transform(F.slice("segs", level + 2, DEPTH + 1), lambda s: F.when(s.startswith("{"), s).otherwise(F.lit("-")))
+    tail = F.array_join(kinds, "/")
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     # What mostly follows a child says what kind of branch it is.
     tails = rows.where("child IS NOT NULL").groupBy(*node, "child", tail.alias("tail")).agg(*sums)
@@ -97,17 +99,20 @@ def _level(tree: DataFrame, level: int) -> DataFrame:
     judged = children.join(nodes, node).withColumn(
         "rare", (F.col("children") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("all"))
     )
-    siblings = (
-        judged.where("NOT rare")
-        .groupBy(*node, "tail")
-        .agg(F.count("*").alias("siblings"), F.sum("labelled").alias("their_labelled"), F.sum("bad").alias("their_bad"))
-    )
-    together = judged.join(siblings, [*node, "tail"], "left")
-    share = (F.col("their_bad") + 0.5) / (F.col("their_labelled") + 1)
-    error = F.sqrt(share * (1 - share) / F.greatest("labelled", F.lit(1)))
-    apart = F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - share)
-    alike = (F.col("siblings") > 1) & ((F.col("labelled") == 0) | (apart <= SIMILAR * error))
-    name = F.when(F.col("rare"), F.lit("{*}")).when(alike, F.lit("{+}")).otherwise(F.col("child"))
+    # Frequent children are few: at most MANY_CHILDREN of them, or 1 / RARE_SHARE.
+    kin = Window.partitionBy(*node, "tail", F.col("labelled") > 0).orderBy("share", "child")
+    often = judged.where("NOT rare").withColumn("share", (F.col("bad") + 0.5) / (F.col("labelled") + 1))
+    earlier, count = F.lag("share").over(kin), F.lag("labelled").over(kin) + 1
+    whole = (F.col("share") * (F.col("labelled") + 1) + earlier * count) / (F.col("labelled") + 1 + count)
+    error = F.sqrt(whole * (1 - whole) * (1 / (F.col("labelled") + 1) + 1 / count))
+    apart = F.coalesce((F.col("labelled") > 0) & (F.col("share") - earlier > SIMILAR * error), F.lit(False))
+    group = often.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(kin))
+    group = group.withColumn("known", F.col("labelled") > 0)
+    alike = Window.partitionBy(*node, "tail", "known", "branch")
+    branch = F.when(F.col("known"), F.concat(F.lit("{+"), F.col("branch").cast("string"), F.lit("}"))).otherwise(F.lit("{+}"))
+    merged = group.select(*node, "child", F.when(F.count("*").over(alike) > 1, branch).alias("merged"))
+    together = judged.join(merged, [*node, "child"], "left")
+    name = F.when(F.col("rare"), F.lit("{*}")).otherwise(F.coalesce("merged", "child"))
     names = together.select(*node, "child", name.alias("name"))
     joined = rows.join(names, [*node, "child"], "left")
     grown = F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))
