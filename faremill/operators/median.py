@@ -4,12 +4,11 @@ The approximate form is one mergeable sketch per route. It is kept apart from th
 route metrics on purpose: together with the distinct airline count Spark would have to
 shuffle a sketch for every (route, airline) pair instead of one for every route.
 
-The exact form never holds the prices of a route in one place. A first pass counts prices
-per (route, band of 1,000.00) and finds the band that holds the middle rank. A second pass
-keeps the prices of those bands only, counts equal ones and finds the middle one. A
-DECIMAL(10,2) has at most 2 * 10^5 bands and 2 * 10^5 prices in a band (the one around zero),
-which bounds every window below however many rows a route has, and both counts fold within
-the input tasks.
+The exact form counts equal prices of a route first, within each input task, and shuffles only the
+folded (route, price) rows. Bands of 1,000.00 then find the band that holds the middle rank,
+and the prices of that band the middle itself. A DECIMAL(10,2) has at most 2 * 10^5 bands and
+2 * 10^5 prices in a band (the one around zero), which bounds every window below however many rows a
+route has.
 """
 
 from __future__ import annotations
@@ -33,19 +32,20 @@ def approx_medians(silver: DataFrame) -> DataFrame:
     )
 
 
-def _banded(silver: DataFrame) -> DataFrame:
-    band = (F.col("Price").cast("int") / BAND_WIDTH).cast("int")
-    return silver.select(*ROUTE, "Price", band.alias("band"))
+def price_counts(silver: DataFrame) -> DataFrame:
+    """Copies of every price of a route.
 
-
-def middle_bands(silver: DataFrame) -> DataFrame:
-    """The band with the median of each route, and the rank wanted within that band.
-
-    Missing prices make a band of zero copies, which no rank can fall into. A filter would
+    Missing prices make a row of zero copies, which no rank can fall into. A filter would
     be pushed below the dedup that silver comes from, and that shuffle could no longer be
     shared with the other route metrics.
     """
-    copies = _banded(silver).groupBy(*ROUTE, "band").agg(F.count("Price").alias("copies"))
+    counted = silver.groupBy(*ROUTE, "Price").agg(F.count("Price").alias("copies"))
+    return counted.withColumn("band", (F.col("Price").cast("int") / BAND_WIDTH).cast("int"))
+
+
+def middle_bands(counts: DataFrame) -> DataFrame:
+    """The band with the median of each route, and the rank wanted within that band."""
+    copies = counts.groupBy(*ROUTE, "band").agg(F.sum("copies").alias("copies"))
     upwards = Window.partitionBy(*ROUTE).orderBy("band")
     whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
@@ -56,25 +56,20 @@ def middle_bands(silver: DataFrame) -> DataFrame:
     )
 
 
-def exact_medians(silver: DataFrame, middle: DataFrame | None = None) -> DataFrame:
+def exact_medians(silver: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Element of rank ceil(n / 2) among the non-NULL prices of each route.
 
-    ``middle`` may be ``middle_bands`` already stored. Its size is known then, and the join
-    below is planned as a broadcast when it is small, and as a shuffle when it is not.
+    ``counts`` may be ``price_counts`` already stored; else both uses share one shuffle of them.
     """
-    wanted = (middle_bands(silver) if middle is None else middle).toDF("s", "d", "b", "target")
+    counts = price_counts(silver) if counts is None else counts
+    wanted = middle_bands(counts).toDF("s", "d", "b", "target")
     same_band = reduce(
         and_, [F.col(left).eqNullSafe(F.col(right)) for left, right in zip([*ROUTE, "band"], "sdb")]
     )
-    copies = (
-        _banded(silver)
-        .join(wanted, same_band)
-        .groupBy(*ROUTE, "target", "Price")
-        .agg(F.count("*").alias("copies"))
-    )
     upwards = Window.partitionBy(*ROUTE).orderBy("Price")
     return (
-        copies.withColumn("before", _running_before(upwards))
+        counts.join(wanted, same_band)
+        .withColumn("before", _running_before(upwards))
         .filter(_holds_target())
         .select(*ROUTE, F.col("Price").alias("median_price"))
     )

@@ -203,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT Total_Stops AS stops_text, {PARSED_STOPS} AS stops FROM raw", **dirty
         ),
         "silver_direct": _with(
-            f"SELECT Total_Stops AS stops_text, {PARSED_STOPS} = 0 AS is_direct FROM raw", **raw
+            f"SELECT Total_Stops AS stops_text, {PARSED_STOPS} = 0 AS is_direct FROM raw", **dirty
         ),
         "silver_price": _with(f"SELECT Price AS price_text, {PARSED_PRICE} AS fare FROM raw", **dirty),
         "silver_flights": _silver("SELECT * FROM silver"),
@@ -249,6 +249,12 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT {ROUTE_KEY} AS route_id, count(*) AS "sum(total_flights)" FROM silver GROUP BY 1',
             dirty=True,
         ),
+        "stored_flights_by_airline": _silver(
+            'SELECT Airline AS airline, count(*) AS "sum(total_flights)" FROM silver GROUP BY Airline'
+        ),
+        "stored_flights_by_route": _silver(
+            f'SELECT {ROUTE_KEY} AS route_id, count(*) AS "sum(total_flights)" FROM silver GROUP BY 1'
+        ),
         "ingest_gate": _with(
             f"SELECT *, {VERDICT} AS verdict FROM (SELECT run_day, "
             "count(*) FILTER (WHERE status = 'ok') AS files_processed, "
@@ -278,17 +284,23 @@ def oracle_sql() -> dict[str, str]:
         "landing_latest": _with(
             "SELECT target_name, modificationTime, path FROM (SELECT *, row_number() OVER "
             "(PARTITION BY target_name ORDER BY modificationTime DESC, path DESC) AS place "
-            "FROM routed) WHERE place = 1",
+            "FROM routed WHERE action = 'csv') WHERE place = 1",
             listing=LISTING,
             routed=ROUTED,
         ),
         "landing_manifest": _with(
-            "SELECT 'csv' AS action, 'ok' AS status, count(*) AS rows_landed, "
-            "CAST(0 AS BIGINT) AS malformed_rows FROM raw",
+            "SELECT kind, action, status, superseded, CAST(copies * n AS BIGINT) AS rows_landed, "
+            "CAST(bad * n AS BIGINT) AS malformed_rows FROM (VALUES "
+            "('archive', 'skip_zip', 'skipped', FALSE, 0, 0), ('sheet', 'excel', 'skipped', FALSE, 0, 0), "
+            "('unknown', 'csv', 'error', FALSE, 0, 0), ('plain', 'csv', 'ok', TRUE, 0, 0), "
+            "('plain', 'csv', 'ok', FALSE, 1, 0), ('swapped', 'csv', 'ok', FALSE, 1, 0), "
+            "('broken', 'csv', 'error', FALSE, 2, 2)) AS f(kind, action, status, superseded, copies, bad), "
+            "(SELECT count(*) AS n FROM raw)",
             **raw,
         ),
         "report_tables": _silver(ROUTES),
-        "landing_consume": _with("SELECT count(*) AS rows_landed, 0 AS files_left FROM raw", **raw),
+        "landing_consume": _with("SELECT 2 * count(*) AS rows_landed, 0 AS files_left FROM raw", **raw),
+        "landing_retry": _with("SELECT *, 1 AS records FROM raw", **raw),
         "pipeline_report": _silver(AIRLINES, **airlines),
         "rollback": _silver(
             "SELECT count(*) AS rows_written, 0 AS tables_left, 0 AS files_left FROM silver"

@@ -22,12 +22,12 @@ def dim_routes(
     silver: DataFrame,
     cube: DataFrame | None = None,
     exact: bool = False,
-    middle: DataFrame | None = None,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """C4, unordered. ``exact`` swaps the median sketch for the exact lower median, which
-    takes stored ``middle`` bands."""
+    takes stored ``prices`` (``price_counts``)."""
     stats = route_price_stats(route_cube(silver) if cube is None else cube)
-    medians = exact_medians(silver, middle) if exact else approx_medians(silver)
+    medians = exact_medians(silver, prices) if exact else approx_medians(silver)
     medians = medians.withColumnsRenamed({"Source": "s", "Destination": "d"})
     same_route = F.col("Source").eqNullSafe(F.col("s")) & F.col("Destination").eqNullSafe(F.col("d"))
     joined = stats.join(medians, same_route, "left").withColumns(
@@ -39,6 +39,12 @@ def dim_routes(
     return joined.select(*[F.col(name).alias(name) for name in DIM_ROUTES.fieldNames()])
 
 
+def route_totals(silver: DataFrame) -> DataFrame:
+    """Flights per route, under its key."""
+    flights = silver.groupBy("Source", "Destination").agg(F.count("*").alias("total_flights"))
+    return flights.select(route_key(F.col("Source"), F.col("Destination")).alias("route_id"), "total_flights")
+
+
 def busiest_first(routes: DataFrame) -> DataFrame:
     """Routes by volume, descending; ties by key, to make the order repeatable."""
     return routes.orderBy(F.desc("total_flights"), "route_id", "source", "destination")

@@ -7,15 +7,17 @@ from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from faremill.operators.cube import route_cube
-from faremill.operators.median import middle_bands
+from faremill.operators.median import price_counts
 from faremill.operators.runs import first_errors, run_gate
 from faremill.plans import gold, report, silver
 from faremill.plans.bronze import bronze_flights
+from faremill.schemas import INGEST_FILES
 from faremill.sources import landing, tables
 from faremill.sources.tables import Warehouse
-from faremill.storage import delete_path, stored
+from faremill.storage import delete_path, path_exists, stored
 
 
 class IngestFailed(RuntimeError):
@@ -38,34 +40,63 @@ def run_record(outcomes: DataFrame, *run: str) -> DataFrame:
     ).withColumn("run_ts", F.current_timestamp())
 
 
+def list_run(spark: SparkSession, root: str, warehouse: Warehouse, run_id: str) -> DataFrame:
+    """The run's manifest, written once; a repeated run id goes on from the one there is."""
+    path = f"{warehouse.run_state(run_id)}/manifest"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        with stored(spark, landing.list_files(spark, root), "listing") as listing:
+            batches = -(-listing.count() // landing.FILES_PER_BATCH)
+            landing.manifest(listing, max(batches, 1)).write.mode("overwrite").parquet(path)
+    files = spark.read.parquet(path)
+    return files.withColumn(landing.MODIFIED, F.unix_millis("modificationTime"))
+
+
+def convert_run(spark: SparkSession, files: DataFrame, warehouse: Warehouse, run_id: str) -> DataFrame:
+    """Every batch of the run that is not committed yet; outcomes of all files.
+
+    A batch is committed by its outcomes, which are written after its rows; a committed batch is never written again.
+    """
+    state = warehouse.run_state(run_id)
+    batches = sorted(row.batch for row in files.select("batch").distinct().collect())
+    for batch in landing.remaining_batches(spark, state, batches):
+        own = files.where(F.col("batch") == batch)
+        chosen = own.where((F.col("action") == "csv") & ~F.col("superseded"))
+        facts = landing.convert_batch(spark, chosen, f"{warehouse.converted}/run_id={run_id}/batch={batch}")
+        outcomes = landing.file_outcomes(own, facts).withColumn("run_id", F.lit(run_id))
+        outcomes.write.mode("overwrite").parquet(f"{state}/outcomes/batch={batch}")
+    schema = StructType([*INGEST_FILES.fields, *files.select("length", "modificationTime").schema.fields])
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{state}/outcomes")
+
+
+def record_run(spark: SparkSession, outcomes: DataFrame, warehouse: Warehouse, run_id: str) -> None:
+    """K5: the run's rows in both record tables, once per run id."""
+    record = run_record(outcomes).withColumn("run_id", F.lit(run_id))
+    for table, rows in (("ops.ingest_files", outcomes.select(*INGEST_FILES.fieldNames())), ("ops.ingest_runs", record)):
+        if tables.read_table(spark, warehouse, table).where(F.col("run_id") == run_id).isEmpty():
+            tables.append(rows, warehouse, table)
+
+
 def land(spark: SparkSession, root: str, warehouse: Warehouse, run_id: str | None = None) -> str:
     """C1 up to the gate: landed files to Parquet, outcomes recorded, bad runs undone.
 
-    Each run owns one folder of converted files, so a repeated run id replaces its rows.
-    Landed files are deleted only after a successful verdict. Returns the run id.
+    Every step leaves a committed mark under the run's own folder, so the same run id goes on where it was
+    broken off, and is a no-op once done; it never reads or clears what arrived after its listing. The
+    landing area is cleared only after a successful verdict. Returns the run id.
     """
     run_id = run_id or uuid.uuid4().hex
-    target = f"{warehouse.converted}/run_id={run_id}"
-    with ExitStack() as folders:
-        listing = folders.enter_context(stored(spark, landing.list_files(spark, root), "listing"))
-        files = folders.enter_context(stored(spark, landing.manifest(listing), "manifest"))
-        layouts = landing.convert(spark, root, files, target)
-        outcomes = landing.file_outcomes(spark, files, target, layouts)
-        done = folders.enter_context(
-            stored(spark, outcomes.withColumn("run_id", F.lit(run_id)), "outcomes")
+    files = list_run(spark, root, warehouse, run_id)
+    outcomes = convert_run(spark, files, warehouse, run_id)
+    record_run(spark, outcomes, warehouse, run_id)
+    verdict = run_gate(outcomes).first()
+    if verdict["verdict"] == "fail":
+        delete_path(spark, f"{warehouse.converted}/run_id={run_id}")
+        messages = [row["message"] for row in first_errors(outcomes).collect()]
+        raise IngestFailed(
+            f"{verdict['files_processed']} files processed, {verdict['errors']} errors: " + "; ".join(messages)
         )
-        tables.append(done, warehouse, "ops.ingest_files")
-        record = run_record(done).withColumn("run_id", F.lit(run_id))
-        tables.append(record, warehouse, "ops.ingest_runs")
-        verdict = run_gate(done).first()
-        if verdict["verdict"] == "fail":
-            delete_path(spark, target)
-            messages = [row["message"] for row in first_errors(done).collect()]
-            raise IngestFailed(
-                f"{verdict['files_processed']} files processed, {verdict['errors']} errors: "
-                + "; ".join(messages)
-            )
-        landing.consume(spark, done)
+    landing.consume(spark, root, outcomes, f"{warehouse.base}/quarantine/run_id={run_id}")
     return run_id
 
 
@@ -87,10 +118,10 @@ def build_gold(spark: SparkSession, warehouse: Warehouse, exact: bool = False) -
     with ExitStack() as folders:
         cube = folders.enter_context(stored(spark, route_cube(flights), "cube"))
         tables.replace(gold.dim_airlines(flights, cube), warehouse, "gold.dim_airlines")
-        middle = None
+        prices = None
         if exact:
-            middle = folders.enter_context(stored(spark, middle_bands(flights), "middle"))
-        routes = gold.dim_routes(flights, cube, exact, middle)
+            prices = folders.enter_context(stored(spark, price_counts(flights), "prices"))
+        routes = gold.dim_routes(flights, cube, exact, prices)
         tables.replace(gold.busiest_first(routes), warehouse, "gold.dim_routes")
 
 

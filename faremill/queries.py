@@ -5,6 +5,7 @@ Load stamps are left out of the results, since no two runs share them.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -20,8 +21,7 @@ from faremill.schemas import INGEST_RUNS
 from faremill.sources import landing, tables
 from faremill.sources.star import raw_flights
 from faremill.sources.tables import Warehouse
-from faremill.storage import file_count, path_exists, scratch_path
-from faremill.streaming.landing import consume_landing
+from faremill.storage import delete_files, delete_path, file_count, move_file, path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,7 @@ def _of_cube(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _of_text(column: str, parse: Callable[[Column], Column], names: str, dirty: bool = True) -> Query:
-    """A raw text column beside its parsed form; only the tables behind it are read."""
+    """A raw text column beside its parsed form."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         text = F.col(column)
@@ -64,6 +64,17 @@ def _new_warehouse(spark: SparkSession) -> Warehouse:
     return warehouse
 
 
+def _kept(spark: SparkSession, result: DataFrame, *folders: str, warehouse: Warehouse | None = None) -> DataFrame:
+    """The result in a folder of its own; the query's other folders, tables and schemas are removed."""
+    path = scratch_path(spark, "result")
+    result.write.parquet(path)
+    if warehouse:
+        tables.remove_all(spark, warehouse)
+    for folder in folders:
+        delete_path(spark, folder)
+    return spark.read.schema(result.schema).parquet(path)
+
+
 def _land_files(spark: SparkSession, folder: str) -> str:
     """The raw rows as CSV files in a new landing folder."""
     root = scratch_path(spark, "raw")
@@ -74,9 +85,9 @@ def _land_files(spark: SparkSession, folder: str) -> str:
 
 def bronze_raw_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Text files in, Parquet out and back."""
-    path = scratch_path(spark, "converted")
-    landing.write_converted(landing.scan_csv(spark, _land_files(spark, folder)), path)
-    return landing.read_converted(spark, path)
+    root, path = _land_files(spark, folder), scratch_path(spark, "converted")
+    landing.write_converted(landing.scan_csv(spark, root), path)
+    return _kept(spark, landing.read_converted(spark, path), root, path)
 
 
 def bronze_stamp(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,6 +109,11 @@ def airline_route_join(flights: DataFrame) -> DataFrame:
     return cube.with_common_route(metrics, routes).withColumnRenamed("Airline", "airline")
 
 
+def _by_route(flights: DataFrame) -> DataFrame:
+    """C6 from the columns that it needs; the medians of ``dim_routes`` are not."""
+    return report.flights_by_route(gold.route_totals(flights))
+
+
 def direct_share(grouped: DataFrame) -> DataFrame:
     """A8, A12."""
     direct, flights = F.sum("direct_flights"), F.sum("flights")
@@ -157,7 +173,7 @@ def ingest_runs(spark: SparkSession, folder: str) -> DataFrame:
     statuses = _statuses(spark, folder).withColumn("run_id", F.col("run_day").cast("string"))
     tables.append(pipeline.run_record(statuses, "run_id"), warehouse, "ops.ingest_runs")
     columns = [name for name in INGEST_RUNS.fieldNames() if name != "run_ts"]
-    return tables.read_table(spark, warehouse, "ops.ingest_runs").select(*columns)
+    return _kept(spark, tables.read_table(spark, warehouse, "ops.ingest_runs").select(*columns), warehouse=warehouse)
 
 
 def _listing(spark: SparkSession, folder: str) -> DataFrame:
@@ -183,31 +199,86 @@ def landing_routing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landing_latest(spark: SparkSession, folder: str) -> DataFrame:
-    """K4 over a listing."""
-    return runs.latest_by_target(runs.route_files(_listing(spark, folder)))
+    """K4 over a listing, among the files that can be converted."""
+    files = runs.route_files(_listing(spark, folder))
+    return runs.latest_by_target(files.filter(F.col("action") == "csv"))
+
+
+def _rename(spark: SparkSession, folder: str, name: Callable[[int], str]) -> None:
+    """Moves the part files that a job wrote to names of our own."""
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    for i, row in enumerate(parts.orderBy("path").toLocalIterator()):
+        move_file(spark, row.path, name(i))
+
+
+def _mixed_files(spark: SparkSession, folder: str) -> str:
+    """A landing folder with everything that can go wrong in one.
+
+    All raw rows under the usual header and once more under a reversed one; older files of the same names; for every
+    row a line with a field too many and a line with fields missing; a file without any known header; a sheet and an archive.
+    """
+    root = scratch_path(spark, "raw")
+    rows = raw_flights(spark, folder)
+
+    def write(frame: DataFrame, target: str, suffix: str = "csv", **options) -> None:
+        """Part i becomes ``target``-i."""
+        place = scratch_path(spark, "step")
+        frame.write.options(**landing.CSV_FORMAT | options).csv(place)
+        _rename(spark, place, lambda i: f"{root}/{target}-{i}.{suffix}")
+        delete_path(spark, place)
+
+    write(rows.where("Additional_Info = 'A'"), "old/plain")
+    write(rows.select(*reversed(rows.columns)), "swapped")
+    broken = F.concat(F.col("Price"), F.lit(",more\nfew,fields"))
+    write(rows.withColumn("Price", broken), "broken", quote="\u0000")
+    write(rows.select("Price"), "unknown")
+    write(rows.select("Price"), "sheet", "xlsx")
+    write(rows.select("Price"), "archive", "zip")
+    # Last, so that these win the names of the old ones; other old names are landed too.
+    time.sleep(0.02)
+    write(rows, "plain")
+    return root
 
 
 def landing_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """S4, K4, K11 over real files: outcomes per file, added up by action and status."""
-    root = _land_files(spark, folder)
-    path = scratch_path(spark, "converted")
-    files = landing.manifest(landing.list_files(spark, root))
-    layouts = landing.convert(spark, root, files, path)
-    outcomes = landing.file_outcomes(spark, files, path, layouts)
-    return outcomes.groupBy("action", "status").agg(
+    """S4, K4, K11 over real files: outcomes per file, added up by action, status and superseded."""
+    warehouse, root = _new_warehouse(spark), _mixed_files(spark, folder)
+    run_id = pipeline.land(spark, root, warehouse)
+    outcomes = tables.read_table(spark, warehouse, "ops.ingest_files").where(F.col("run_id") == run_id)
+    kind = F.regexp_extract("target_name", "^[a-z]+", 0).alias("kind")
+    result = outcomes.groupBy(kind, "action", "status", "superseded").agg(
         F.sum("row_count").alias("rows_landed"), F.sum("malformed_rows").alias("malformed_rows")
     )
+    return _kept(spark, result, root, warehouse=warehouse)
 
 
 def landing_consume(spark: SparkSession, folder: str) -> DataFrame:
-    """K7 by stream: all rows arrive, no file stays."""
-    root = _land_files(spark, folder)
-    path, checkpoint = scratch_path(spark, "converted"), scratch_path(spark, "offsets")
-    consume_landing(spark, root, path, checkpoint)
+    """K7: two rounds under the same file names; all rows of both arrive, no file stays."""
+    warehouse, root = _new_warehouse(spark), scratch_path(spark, "raw")
+    for _ in range(2):
+        place = _land_files(spark, folder)
+        _rename(spark, place, lambda i: f"{root}/{i}.csv")
+        delete_path(spark, place)
+        pipeline.land(spark, root, warehouse)
     left = landing.list_files(spark, root).filter(F.col("action") == "csv").count()
-    return landing.read_converted(spark, path).agg(
+    result = landing.read_converted(spark, warehouse.converted).agg(
         F.count("*").alias("rows_landed"), F.lit(left).alias("files_left")
     )
+    return _kept(spark, result, root, warehouse=warehouse)
+
+
+def landing_retry(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that broke off while it cleared the landing folder, repeated under its id."""
+    warehouse, root = _new_warehouse(spark), _land_files(spark, folder)
+    files = pipeline.list_run(spark, root, warehouse, "r1")
+    pipeline.record_run(spark, pipeline.convert_run(spark, files, warehouse, "r1"), warehouse, "r1")
+    gone = files.where(F.pmod(F.xxhash64("path"), F.lit(2)) == 0).select("path")
+    delete_files(spark, (row.path for row in gone.toLocalIterator()))
+    for _ in range(2):
+        pipeline.land(spark, root, warehouse, run_id="r1")
+    records = tables.read_table(spark, warehouse, "ops.ingest_runs").count()
+    result = landing.read_converted(spark, warehouse.converted)
+    return _kept(spark, result.withColumn("records", F.lit(records)), root, warehouse=warehouse)
 
 
 def report_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,14 +286,28 @@ def report_tables(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _new_warehouse(spark)
     tables.overwrite(_silver(spark, folder), warehouse, "silver.flights")
     pipeline.build_gold(spark, warehouse, exact=True)
-    return tables.read_table(spark, warehouse, "gold.dim_routes").drop("last_updated")
+    result = tables.read_table(spark, warehouse, "gold.dim_routes").drop("last_updated")
+    return _kept(spark, result, warehouse=warehouse)
+
+
+def _stored_report(report_of: Callable[[SparkSession, Warehouse], DataFrame]) -> Query:
+    """C5, C6 over the stored gold tables."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        warehouse = _new_warehouse(spark)
+        tables.overwrite(_silver(spark, folder), warehouse, "silver.flights")
+        pipeline.build_gold(spark, warehouse)
+        return _kept(spark, report_of(spark, warehouse), warehouse=warehouse)
+
+    return run
 
 
 def pipeline_report(spark: SparkSession, folder: str) -> DataFrame:
     """C1 to C4 from text files to the stored airline table."""
-    warehouse = _new_warehouse(spark)
-    pipeline.run_all(spark, _land_files(spark, folder), warehouse)
-    return tables.read_table(spark, warehouse, "gold.dim_airlines").drop("last_updated")
+    warehouse, root = _new_warehouse(spark), _land_files(spark, folder)
+    pipeline.run_all(spark, root, warehouse)
+    result = tables.read_table(spark, warehouse, "gold.dim_airlines").drop("last_updated")
+    return _kept(spark, result, root, warehouse=warehouse)
 
 
 def rollback(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,6 +318,7 @@ def rollback(spark: SparkSession, folder: str) -> DataFrame:
     locations = pipeline.rollback(spark, warehouse)
     left = sum(spark.catalog.tableExists(warehouse.name(table)) for table in tables.TABLES)
     files = sum(file_count(spark, place) for place in locations if path_exists(spark, place))
+    tables.remove_all(spark, warehouse)
     return spark.range(1).select(
         F.lit(written).alias("rows_written"),
         F.lit(left).alias("tables_left"),
@@ -253,7 +339,6 @@ def queries() -> dict[str, Query]:
             "Total_Stops",
             lambda text: parsing.is_direct(parsing.stop_count(text)),
             "stops_text is_direct",
-            dirty=False,
         ),
         "silver_price": _of_text("Price", parsing.fare, "price_text fare"),
         "silver_flights": _of_silver(lambda flights: flights),
@@ -287,10 +372,10 @@ def queries() -> dict[str, Query]:
         "flights_by_airline": _of_silver(
             lambda flights: report.flights_by_airline(gold.dim_airlines(flights))
         ),
-        "flights_by_route": _of_silver(lambda flights: report.flights_by_route(gold.dim_routes(flights))),
-        "flights_by_route_dirty": _of_silver(
-            lambda flights: report.flights_by_route(gold.dim_routes(flights)), dirty=True
-        ),
+        "flights_by_route": _of_silver(_by_route),
+        "flights_by_route_dirty": _of_silver(_by_route, dirty=True),
+        "stored_flights_by_airline": _stored_report(pipeline.airline_report),
+        "stored_flights_by_route": _stored_report(pipeline.route_report),
         "ingest_gate": ingest_gate,
         "ingest_first_errors": ingest_first_errors,
         "ingest_runs": ingest_runs,
@@ -298,6 +383,7 @@ def queries() -> dict[str, Query]:
         "landing_latest": landing_latest,
         "landing_manifest": landing_manifest,
         "landing_consume": landing_consume,
+        "landing_retry": landing_retry,
         "report_tables": report_tables,
         "pipeline_report": pipeline_report,
         "rollback": rollback,

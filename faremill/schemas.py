@@ -41,15 +41,21 @@ def _struct(**columns: DataType) -> StructType:
 
 RAW = _struct(**{name: StringType() for name in BUSINESS_COLUMNS})
 
-# Converted files: the raw columns plus where each row came from and, for a row whose
-# number of fields is wrong, its untouched text.
+# Converted files: the raw columns plus where each row came from, for a row whose number of
+# fields is wrong its untouched text, and for a header line the order of its names.
 MALFORMED = "malformed_record"
 SOURCE_FILE = "source_file"
+LAYOUT = "layout"
 CONVERTED = StructType(
     RAW.fields
-    + [StructField(MALFORMED, StringType(), True), StructField(SOURCE_FILE, StringType(), True)]
+    + [
+        StructField(MALFORMED, StringType(), True),
+        StructField(SOURCE_FILE, StringType(), True),
+        StructField(LAYOUT, LongType(), True),
+    ]
 )
 
+# Columns and types of the declared bronze, silver and gold tables.
 BRONZE_FLIGHTS = StructType(
     RAW.fields + [StructField("ingestion_timestamp", TimestampType(), True)]
 )

@@ -1,8 +1,7 @@
 """Raw flight rows derived from a star schema of Parquet tables.
 
-The rows have the shape of landed files: text only, with exact duplicates. Only the tables
-that the asked-for columns come from are read and joined; the foreign keys have no orphans,
-so leaving a join out does not change the rows.
+The rows have the shape of landed files: text only, with exact duplicates. All tables are always
+joined, whatever columns are asked for, so that a row without a partner counts nowhere.
 """
 
 from __future__ import annotations
@@ -14,16 +13,6 @@ from pyspark.sql import functions as F
 
 from faremill.schemas import BUSINESS_COLUMNS
 
-# Which lookups a raw column needs beyond the line items themselves.
-NEEDS = {
-    "Airline": {"part"},
-    "Duration": {"part"},
-    "Source": {"supplier"},
-    "Destination": {"customer"},
-    "Route": {"supplier", "customer"},
-}
-
-
 # The columns used here, declared so that no file is opened while a query is built.
 TABLES = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
@@ -51,32 +40,20 @@ def _places(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The line items, spread out only when the file gives fewer tasks than there are cores,
-    which a table of any size never does."""
-    lines = _table(spark, folder, "lineitem")
-    cores = spark.sparkContext.defaultParallelism
-    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
-
-
-def _joined(spark: SparkSession, folder: str, lookups: set[str]) -> DataFrame:
-    lines = _lines(spark, folder)
-    if "part" in lookups:
-        lines = lines.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if "supplier" in lookups:
-        suppliers = _table(spark, folder, "supplier").join(
-            _places(spark, folder, "s"), F.col("s_nationkey") == F.col("s_nation")
-        )
-        lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-    if "customer" in lookups:
-        customers = _table(spark, folder, "customer").join(
-            _places(spark, folder, "c"), F.col("c_nationkey") == F.col("c_nation")
-        )
-        orders = _table(spark, folder, "orders").join(
-            customers, F.col("o_custkey") == F.col("c_custkey")
-        )
-        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines
+def _joined(spark: SparkSession, folder: str) -> DataFrame:
+    suppliers = _table(spark, folder, "supplier").join(
+        _places(spark, folder, "s"), F.col("s_nationkey") == F.col("s_nation")
+    )
+    customers = _table(spark, folder, "customer").join(
+        _places(spark, folder, "c"), F.col("c_nationkey") == F.col("c_nation")
+    )
+    orders = _table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return (
+        _table(spark, folder, "lineitem")
+        .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    )
 
 
 def _clean_columns() -> dict[str, Column]:
@@ -140,12 +117,9 @@ def raw_flights(
     joins once per branch.
     """
     columns = list(columns)
-    lookups = set().union(*[NEEDS.get(name, set()) for name in columns])
-    if dirty and "Airline" in columns:
-        lookups.add("part")
     expressions = _dirty_columns() if dirty else _clean_columns()
     copies = F.array_repeat(F.lit(1), F.when(F.col("l_returnflag") == "R", F.lit(2)).otherwise(F.lit(1)))
-    rows = _joined(spark, folder, lookups).select(
+    rows = _joined(spark, folder).select(
         *[expressions[name].alias(name) for name in columns], F.explode(copies).alias("copy")
     )
     return rows.select(*columns)

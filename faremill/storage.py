@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -17,18 +16,9 @@ DELETE_BATCH = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors reach, as the cluster names it.
-
-    A machine-local folder stands in only for a local master, where there is one machine.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="faremill-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The folder that all executors reach: as the cluster names it, else one in the warehouse, which is shared too."""
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/faremill-scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -86,3 +76,22 @@ def delete_files(spark: SparkSession, paths: Iterable[str]) -> int:
         while batch := list(islice(names, DELETE_BATCH)):
             deleted += sum(pool.map(lambda path: delete_path(spark, path), batch))
     return deleted
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Moves one file, between file systems too; what stood at ``target`` is replaced."""
+    here, source_path = _file_system(spark, source)
+    there, target_path = _file_system(spark, target)
+    there.mkdirs(target_path.getParent())
+    there.delete(target_path, True)
+    if here.getUri().equals(there.getUri()) and here.rename(source_path, target_path):
+        return
+    copy_file(spark, source, target, delete_source=True)
+
+
+def copy_file(spark: SparkSession, source: str, target: str, delete_source: bool = False) -> None:
+    here, source_path = _file_system(spark, source)
+    there, target_path = _file_system(spark, target)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files.copy(here, source_path, there, target_path, delete_source, conf)
