@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from faremill.llm.store import saved
 
-BLANK_CLASS = r"[ \t-\r]"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 
@@ -23,12 +22,12 @@ BUCKETS = 1 << 16
 #: Trusted documents that the target is counted over: those with the smallest hashes of their ids.
 TARGET_DOCS = 50_000
 #: Pseudo n-grams per bucket by which the target is drawn to the corpus, and that both multinomials get evenly.
-PRIOR = 4
+PRIOR = 8
 EVEN = 0.5
 #: Fixed-point units of one nat.
 SCALE = 1 << 16
 #: Mean nats per n-gram below which a document is rejected.
-THRESHOLD = -0.13
+THRESHOLD = -0.115
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -36,26 +35,42 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def words_of(text: Column) -> Column:
-    """The words [^\\x20\\x09-\\x0D]+ of a text; none of a null text."""
+def spaced(text: Column) -> Column:
+    """A text with all its white space turned into spaces."""
     for blank in "\t\n\x0b\x0c\r":
         text = F.replace(text, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), " "), "")
+    return text
+
+
+def words_of(text: Column) -> Column:
+    """The words [^\\x20\\x09-\\x0D]+ of a text; none of a null text."""
+    return F.array_remove(F.split(F.coalesce(spaced(text), F.lit("")), " "), "")
+
 
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-def buckets_of(words: Column, buckets: int) -> Column:
-    """The bucket of every word and of every pair of neighbours."""
 
-    def hashed(words: Column) -> Column:
-        single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-        pairs = F.transform(words, lambda w, i: F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(buckets)).cast("int"))
-        return F.concat(single, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+def joined_hashes(hashes: Column, apart: int) -> Column:
+    """The hash of every element and the one ``apart`` places on; the last ``apart`` have none and are left out."""
 
-    return let(words, hashed)
+    def joined(h: Column) -> Column:
+        whole = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + apart)))
+        return F.slice(whole, 1, F.greatest(F.size(h) - apart, F.lit(0)))
 
+    return let(hashes, joined)
 
-def repeated_words(words: Column, window: int = WINDOW) -> Column:
-    """How many words lie in windows of ``window`` words that stand in the text twice or more, the first ones included."""
+
+def bucket(value: Column, buckets: int) -> Column:
+    return F.pmod(value, F.lit(buckets)).cast("int")
+
+
+def repeated_words(pairs: Column, window: int = WINDOW) -> Column:
+    """How many words lie in windows of ``window`` words that stand in the text twice or more, the first ones included.
+
+    ``pairs`` are the hashes of neighbouring words; windows of 4 and 8 words are joined from those of 2 and 4.
+    """
+    none = F.lit(0).cast("long")
 
     def covered(hashes: Column) -> Column:
         ranked = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -69,35 +84,33 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         def width(at: Column) -> Column:
             return F.aggregate(
                 F.transform(at, lambda p, j: F.least(F.coalesce(F.get(at, j + 1) - p, F.lit(window)), F.lit(window))),
-                F.lit(0).cast("long"),
+                none,
                 lambda total, step: total + step,
             )
 
         return let(let(ranked, repeated), width)
 
-    def counted(words: Column) -> Column:
-        starts = F.size(words) - window + 1
-        hashes = F.transform(F.sequence(F.lit(1), starts), lambda i: F.xxhash64(F.slice(words, i, window)))
-        none = F.lit(0).cast("long")
-        found = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(none))
-        return F.when(starts >= 2, found).otherwise(none)
-
-    return let(words, counted)
+    hashes, size = pairs, 2
+    while size < window:
+        hashes, size = joined_hashes(hashes, size), 2 * size
+    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(none))
 
 
 def with_base(docs: DataFrame) -> DataFrame:
-    """doc_id, text, words and the plain measures of every row."""
+    """doc_id, hashes of words and of neighbouring words, and the plain measures of every row."""
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t-\r]"))
-    measured = docs.select("doc_id", text.alias("text")).withColumn("words", words_of(F.col("text")))
-    return measured.select(
+    lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^ \t-\r]"))
+    hashed = docs.select("doc_id", text.alias("text")).withColumn("hashes", word_hashes(words_of(F.col("text"))))
+    paired = hashed.withColumn("pairs", joined_hashes(F.col("hashes"), 1))
+    return paired.select(
         "doc_id",
-        "words",
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", BLANK_CLASS, "")).cast("long").alias("word_chars"),
+        "hashes",
+        "pairs",
+        F.size("hashes").cast("long").alias("n_words"),
+        F.length(F.replace(spaced(F.col("text")), F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"),
+        repeated_words(F.col("pairs")).alias("n_repeat_words"),
     )
 
 
@@ -109,8 +122,8 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS,
     """
     chosen = trusted.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs)
     marked = docs.select("doc_id", "text").join(F.broadcast(chosen.withColumn("in_target", F.lit(1))), "doc_id", "left")
-    grams = buckets_of(words_of(F.col("text")), buckets)
-    counted = marked.select("in_target", F.explode(grams).alias("bucket"))
+    grams = let(word_hashes(words_of(F.col("text"))), lambda h: F.concat(h, joined_hashes(h, 1)))
+    counted = marked.select("in_target", F.explode(grams).alias("gram")).select("in_target", bucket(F.col("gram"), buckets).alias("bucket"))
     counts = counted.groupBy("bucket").agg(F.count("in_target").alias("target"), F.count("*").alias("corpus"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     every = saved(every.na.fill(0, ["target", "corpus"]), "bucket-counts")
@@ -138,10 +151,12 @@ def judged(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, threshol
     weights = bucket_weights(docs, trusted, buckets)
     base = with_base(docs)
 
-    def total(w: Column) -> Column:
-        return F.aggregate(
-            buckets_of(F.col("words"), buckets), F.lit(0).cast("long"), lambda acc, b: acc + F.get(w, b)
-        )
+    def units(column: str, weight: Column) -> Column:
+        add = lambda total, h: total + F.get(weight, bucket(h, buckets))
+        return F.aggregate(F.col(column), F.lit(0).cast("long"), add)
+
+    def total(weight: Column) -> Column:
+        return units("hashes", weight) + units("pairs", weight)
 
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     scored = base.withColumn("weights", weights.scalar()).withColumn("units", let(F.col("weights"), total))
