@@ -7,9 +7,10 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as contract
+from faremill import oracle
 from faremill import queries as registry
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,8 @@ def duck():
 
 
 def test_names_line_up():
-    assert set(registry.queries()) <= set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) == set(QUERIES)
+    assert set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
