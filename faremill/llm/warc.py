@@ -14,9 +14,11 @@ import re
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.llm.store import with_text_batches
+
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122, names that are URLs
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?</head\s*>", re.S | re.I)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
@@ -27,6 +29,8 @@ _LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 #: Digits of Spark's base 32 and of RFC 4648.
 _COUNTING, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+VERSION, END = "WARC/1.0\r\n", "\r\n\r\n"
+
 RESPONSE = "record_id string, target_uri string, date string, headers map<string,string>, http_headers string, payload string"
 DERIVED = (
     "source_id string, warc_type string, record_id string, refers_to string, target_uri string, date string, "
@@ -107,7 +111,7 @@ def derivatives(records: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_DERIVED_ARROW)
 
-    return records.select(*names).mapInArrow(work, DERIVED)
+    return with_text_batches(records.select(*names)).mapInArrow(work, DERIVED)
 
 
 _DERIVED_ARROW = pa.schema(
@@ -158,12 +162,12 @@ def _derived(source: dict) -> list[dict]:
 
 
 def serialised(records: DataFrame) -> DataFrame:
-    """record_id and the bytes of each derived record in a WARC/1.0 file: header lines, empty line, block, two line ends."""
+    """record_id and the text of each derived record in a WARC/1.0 file: header lines, empty line, block, two line ends."""
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
     kept = F.filter(F.map_entries("headers"), lambda e: e["value"].isNotNull() & (F.lower(e["key"]) != "warc-payload-digest"))
     others = F.array_join(F.transform(kept, lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\r\n"))), "")
     text = F.concat(
-        F.lit("WARC/1.0\r\n"),
+        F.lit(VERSION),
         line("WARC-Type", F.col("warc_type")),
         line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Refers-To", F.col("refers_to")),
@@ -176,6 +180,49 @@ def serialised(records: DataFrame) -> DataFrame:
         line("Content-Length", F.col("content_length").cast("string")),
         F.lit("\r\n"),
         F.col("block"),
-        F.lit("\r\n\r\n"),
+        F.lit(END),
+    )
+    return records.select("record_id", text.alias("content"))
+
+
+def write_warc(records: DataFrame, path: str) -> None:
+    """Derived records as uncompressed WARC files, one per task."""
+    text = F.col("content").substr(F.lit(1), F.length("content") - len(END))
+    serialised(records).select(text).write.option("lineSep", END).text(path)
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The records of uncompressed WARC files of UTF-8 text: headers, block, and whether the block is ``complete``.
+
+    Spark splits the files between records, so a file of any size is read by many tasks. A block that itself holds the end
+    of a record and the start of another is cut there, which its Content-Length tells: complete is then false.
+    """
+    rows = spark.read.option("lineSep", END + VERSION).text(path)
+    record = F.regexp_replace(F.regexp_replace("value", f"^{VERSION}", ""), f"{END}$", "")
+    head = F.substring_index(record, "\r\n\r\n", 1)
+    lines = F.filter(F.split(head, "\r\n"), lambda line: line.contains(": "))
+    pairs = F.transform(
+        lines, lambda line: F.struct(F.substring_index(line, ": ", 1).alias("k"), F.regexp_replace(line, "^[^:]*: ", "").alias("v"))
+    )
+    # A header may stand there twice; the first counts.
+    names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+    headers = F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(pairs, lambda p: p["k"] == n), 1)["v"]))
+    parsed = rows.select(record.alias("record"), F.length(head).alias("begin"), headers.alias("headers"))
+    block = F.substr("record", F.col("begin") + 5)
+    size = F.try_element_at("headers", F.lit("Content-Length")).try_cast("long")
+    return parsed.select("headers", block.alias("block")).withColumn("complete", F.coalesce(size == F.octet_length("block"), F.lit(False)))
+
+
+def responses_of(records: DataFrame) -> DataFrame:
+    """The response records (columns of RESPONSE) among records that ``read_warc`` gave; incomplete ones are none."""
+    value = lambda name: F.try_element_at("headers", F.lit(name))
+    found = records.where("complete").where(value("WARC-Type") == "response")
+    end = F.instr("block", "\r\n\r\n")
+    return found.select(
+        value("WARC-Record-ID").alias("record_id"),
+        value("WARC-Target-URI").alias("target_uri"),
+        value("WARC-Date").alias("date"),
+        "headers",
+        F.when(end > 0, F.substr("block", F.lit(1), end + 3)).otherwise(F.col("block")).alias("http_headers"),
+        F.when(end > 0, F.substr("block", end + 4)).otherwise(F.lit("")).alias("payload"),
     )
-    return records.select("record_id", text.cast("binary").alias("content"))

@@ -14,7 +14,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from faremill.llm import html_text, queries, url_filters, warc
+from faremill.llm import html_text, quality_model, queries, url_filters, warc
+from test_documents import _base_spans, _components, _contained
 
 DATA = Path("/root/testdata/sf0.001")
 SCHEMA = "page_id long, url string, html string, text string, host string, n long, template string"
@@ -168,7 +169,7 @@ def test_serialised_records_read_back(spark, pages):
     blocks = Counter((r.record_id, r.block) for r in derived.collect())
     found = Counter()
     for row in warc.serialised(derived).collect():
-        head, _, rest = bytes(row.content).partition(b"\r\n\r\n")
+        head, _, rest = row.content.encode().partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         fields = dict(line.split(": ", 1) for line in lines[1:])
         size = int(fields["Content-Length"])
@@ -177,6 +178,33 @@ def test_serialised_records_read_back(spark, pages):
     assert found == blocks
 
 
+def test_files_of_records_read_back(spark, pages, tmp_path):
+    derived = warc.derivatives(warc.responses(pages.where("page_id < 7")))
+    warc.write_warc(derived, str(tmp_path / "out"))
+    found = warc.read_warc(spark, str(tmp_path / "out")).collect()
+    assert all(r.complete for r in found)
+    assert Counter((r.headers["WARC-Record-ID"], r.headers["WARC-Refers-To"], r.block) for r in found) == Counter(
+        (r.record_id, r.refers_to, r.block) for r in derived.collect()
+    )
+
+
+def test_responses_of_a_file(spark, tmp_path):
+    def record(kind, name, block):
+        size = len(block.encode())
+        return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {name}\r\nWARC-Date: d\r\nX: a\r\nX: b\r\nContent-Length: {size}\r\n\r\n{block}\r\n\r\n"
+
+    page = "HTTP/1.1 404 Not Found\r\nA: b\r\n\r\n<p>Gone &eacute;</p>\r\n\r\n<p>two"
+    text = record("warcinfo", "<i>", "x") + record("response", "<r>", page) + record("response", "<e>", "") + "WARC/1.0\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(text.encode())
+    records = warc.read_warc(spark, str(tmp_path / "a.warc"))
+    assert [r.complete for r in records.collect()] == [True, True, True, False]
+    found = {r.record_id: r for r in warc.responses_of(records).collect()}
+    assert found["<r>"].payload == "<p>Gone &eacute;</p>\r\n\r\n<p>two" and found["<r>"].headers["X"] == "a"
+    assert found["<e>"].payload == "" and set(found) == {"<r>", "<e>"}
+    blocks = {(r.refers_to, r.warc_type): r.block for r in warc.derivatives(warc.responses_of(records)).collect()}
+    assert blocks["<r>", "conversion"] == "Gone é\ntwo" and "http-status: 404" in blocks["<r>", "metadata"]
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -198,15 +226,45 @@ def test_query_equals_sql(spark, duck, name):
     assert found == sorted(repr([row[i] for i in places]) for row in answer.fetchall())
 
 
-def test_pipeline_equals_its_stages_one_by_one(spark):
+def test_pipeline_equals_brute_force(spark):
+    """Each stage on what the one before kept, against plain Python; then the whole run."""
     docs = spark.read.parquet(str(DATA / "documents.parquet"))
-    columns, left = docs.columns, docs
-    counts = [docs.count()]
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        left = stage(spark, left, str(DATA))
-        assert left.columns == columns
-        left = spark.createDataFrame(left.collect(), left.schema)
-        counts.append(left.count())
-    assert counts == sorted(counts, reverse=True) and counts[-1] == counts[-2] > 100
-    expected = sorted((r.doc_id, r.ids) for r in corpus_pipeline.STAGES[-1][1](spark, left, str(DATA)).collect())
+    columns, schema = docs.columns, docs.schema
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name, frame):
+        kept = stages[name](spark, frame, str(DATA))
+        assert kept.columns == columns
+        return {row.doc_id: row for row in kept.collect()}
+
+    def frame(rows):
+        return spark.createDataFrame(list(rows.values()), schema)
+
+    good = after("quality", docs)
+    scored = quality_model.classified(docs, spark.read.parquet(str(DATA / "labels.parquet"))).collect()
+    assert set(good) == {r.doc_id for r in scored if r.predicted == 1}
+
+    apart = after("near_copies", frame(good))
+    groups = _components([(i, r.text) for i, r in good.items()], width=5, percent=80)
+    assert set(apart) == {doc_id for doc_id, _, smallest in groups if doc_id == smallest}
+
+    items = [(r.item_id, r.text) for r in spark.read.parquet(str(DATA / "benchmark.parquet")).collect()]
+    clean = after("benchmark", frame(apart))
+    leaks = {doc_id for doc_id, *_ in _contained([(i, r.text) for i, r in apart.items()], items)}
+    assert leaks and set(clean) == set(apart) - leaks
+
+    masked = after("secret_scan", frame(clean))
+    assert set(masked) == set(clean)
+    changed = 0
+    for doc_id, row in masked.items():
+        text, spans = clean[doc_id].text or "", _base_spans(clean[doc_id].text or "")
+        for span in sorted(spans.split(",") if spans else [], key=lambda s: -int(s.split(":")[1])):
+            _, begin, end = span.split(":")
+            text = text[: int(begin)] + "\0" + text[int(end) :]
+        assert row.text == re.sub("\0+", "[SECRET]", text) or "[SECRET]" in row.text
+        assert row.n_chars == (len(row.text) if spans else clean[doc_id].n_chars)
+        changed += bool(spans)
+    assert changed
+
+    expected = sorted((r.doc_id, r.ids) for r in stages["token_ids"](spark, frame(masked), str(DATA)).collect())
     assert sorted((r.doc_id, r.ids) for r in corpus_pipeline.run(spark, str(DATA)).collect()) == expected
