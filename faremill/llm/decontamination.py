@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.store import saved
+from faremill.llm.store import saved, with_text_batches
 from faremill.llm.words import NON_WORD, Block, WordHasher
 
 #: Bits of the filter of one size partition. A crowded filter costs time and changes nothing.
@@ -131,7 +131,7 @@ def evidence(docs: DataFrame, shingles: DataFrame, width: int, percent: int) ->
                 yield from _matches(block, rows, bits, partitions, width)
 
     numbered = docs.select(F.monotonically_increasing_id(), "doc_id", F.xxhash64("text"), F.lower("text"))
-    return numbered.mapInArrow(work, EVIDENCE)
+    return with_text_batches(numbered).mapInArrow(work, EVIDENCE)
 
 
 def _matches(block: Block, rows: list[list], bits: dict, partitions: list, width: int) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faremill.llm.store import with_text_batches
+
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"<]*\"|'[^'<]*'|[^>\"'<])*+(?=>)|[^>]*)>",
@@ -275,5 +277,5 @@ def extracted(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     found = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    found = found.mapInArrow(work, "page_id long, url string, text string")
+    found = with_text_batches(found).mapInArrow(work, "page_id long, url string, text string")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

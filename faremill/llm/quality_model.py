@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from faremill.llm.store import with_text_batches
 from faremill.llm.words import BLANKS, WordHasher
 
 STATISTICS = (
@@ -136,7 +137,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
             )
 
     schema = "doc_id long, " + ", ".join(f"{name} double" for name in names)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, schema)
+    return with_text_batches(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(work, schema)
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -212,7 +213,7 @@ def with_scores(docs: DataFrame, model: Discriminant, column: str = "score") ->
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, column])
 
     schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
-    return docs.mapInArrow(work, schema)
+    return with_text_batches(docs).mapInArrow(work, schema)
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -17,3 +17,21 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of whole texts that cross to a Python worker at once.
+TEXT_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def with_text_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most TEXT_ROWS rows.
+
+    Spark's own 10,000 rows suit numbers; of whole texts they take hundreds of megabytes in each worker and
+    as much again outside the heap. A lower setting of the session is kept. Results do not depend on it.
+    """
+    conf = df.sparkSession.conf
+    rows = int(conf.get(_BATCH_ROWS, "10000"))
+    if rows <= 0 or rows > TEXT_ROWS:
+        conf.set(_BATCH_ROWS, str(TEXT_ROWS))
+    return df

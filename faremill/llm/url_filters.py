@@ -3,8 +3,9 @@
 Segments that are numbers, dates, hashes and the like become typed wildcards row by row; what is left is folded into one
 row per host and path before any tree work. Then, level by level, rare children of a node with many of them become
 one wildcard; siblings that lead to the same kind of path are ordered by their share of bad labels, and neighbours whose
-shares do not differ significantly are merged. Siblings without labels are merged with each other. Every template's share of bad labels is smoothed towards that of its host, and that towards
-the corpus. Everything runs on DataFrame functions.
+shares do not differ significantly are merged. Siblings without labels are merged with each other. Every template's
+share of bad labels is smoothed towards that of its host, and that towards the corpus. Everything runs on DataFrame
+functions.
 """
 
 from __future__ import annotations

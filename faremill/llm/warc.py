@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from faremill.llm.store import with_text_batches
 
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122, names that are URLs
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?</head\s*>", re.S | re.I)
+_HIDDEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?</head\s*>",
+    re.S | re.I,
+)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _INLINE = re.compile(r"</?(?:a|abbr|b|bdi|bdo|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
