@@ -10,10 +10,9 @@ Everything runs on DataFrame functions; the rule needs only a histogram of fixed
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from faremill.llm.quality_rules import let
 from faremill.llm.store import saved
@@ -172,9 +171,8 @@ def p_value(token: Column, alphabet: Column) -> Column:
     return F.greatest(p_even, let(values, lambda v: F.greatest(runs(v), serial(v))))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans and tested tokens of every row; the text is read once."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def base_spans(text: Column) -> Column:
+    """Spans of the fixed patterns, by start, then kind."""
 
     def spans(kind: str, found: Column) -> Column:
         rank = F.lit(KINDS.index(kind))
@@ -186,6 +184,11 @@ def measured(docs: DataFrame) -> DataFrame:
     # A run of the alphabet is found whole, so a least length in the pattern drops exactly the shorter runs.
     access = matches(text, ACCESS.replace("+", f"{{{ACCESS_KEY - 4},}}"))
     hexes = matches(text, HEX.replace("+", f"{{{HEX_RUN},}}"))
+    return F.sort_array(F.concat(spans("assign", assign), spans("access", access), spans("hex", hexes)))
+
+
+def tested_tokens(text: Column) -> Column:
+    """Start, end, family and bin of the p-value of every token that looks encoded."""
     names = F.create_map(*(F.lit(x) for pair in ALPHABETS.items() for x in pair))
 
     def tested(m: Column) -> Column:
@@ -199,15 +202,11 @@ def measured(docs: DataFrame) -> DataFrame:
             F.ceil(p * BINS).cast("int").alias("bin"),
         )
 
-    tokens = F.filter(matches(text, TOKEN_PATTERN), lambda m: encoding(m["text"]).isNotNull())
-    base = F.sort_array(F.concat(spans("assign", assign), spans("access", access), spans("hex", hexes)))
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), base.alias("base"), F.transform(tokens, tested).alias("tokens"))
+    return F.transform(F.filter(matches(text, TOKEN_PATTERN), lambda m: encoding(m["text"]).isNotNull()), tested)
 
 
 def limits(tokens: DataFrame, alpha: float = FALSE_DISCOVERY) -> DataFrame:
     """One row: by family, the greatest bin of p-values that the Benjamini-Hochberg rule accepts."""
-    from pyspark.sql.window import Window
-
     counts = tokens.groupBy("family", "bin").agg(F.count("*").alias("n"))
     family = Window.partitionBy("family")
     up_to = F.sum("n").over(family.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -217,31 +216,32 @@ def limits(tokens: DataFrame, alpha: float = FALSE_DISCOVERY) -> DataFrame:
     return each.agg(F.map_from_entries(F.collect_list(F.struct("family", "bin"))).alias("limits"))
 
 
+def all_spans(base: Column, tokens: Column, accepted: Column) -> Column:
+    """Base spans and the tokens in an accepted bin that lie inside none of them, by start, then kind."""
+    rank = F.lit(KINDS.index("random"))
+    kept = F.filter(
+        tokens,
+        lambda t: (t["bin"] <= F.coalesce(F.try_element_at(accepted, t["family"]), F.lit(-1)))
+        & ~F.exists(base, lambda s: (s["start"] <= t["start"]) & (s["end"] >= t["end"])),
+    )
+    reported = F.transform(kept, lambda t: F.struct(t["start"].alias("start"), rank.alias("rank"), t["end"].alias("end")))
+    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint>>")
+    return F.sort_array(F.concat(base, F.when(F.size(tokens) > 0, reported).otherwise(none)))
+
+
 def find_secrets(docs: DataFrame, alpha: float = FALSE_DISCOVERY) -> DataFrame:
-    """doc_id, text_key (hash of the text), base and spans of every row of ``docs`` (doc_id, text).
+    """doc_id, base and spans of every row of ``docs`` (doc_id, text).
 
     base: spans of the fixed patterns; spans: those and the tokens that the battery reports, without tokens that lie
     inside a base span. A span is (start, rank, end): code points, end exclusive; rank is the place in KINDS. Both are
     ordered by start, then kind. Null and empty texts have none. Repeated rows are scanned each, and each counts
     in the false-discovery rule. Other columns are ignored.
     """
-    scanned = saved(measured(docs), "scanned")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    scanned = saved(docs.select("doc_id", base_spans(text).alias("base"), tested_tokens(text).alias("tokens")), "scanned")
     found = limits(scanned.select(F.explode("tokens").alias("t")).select("t.*"), alpha)
     joined = scanned.withColumn("limits", found.scalar())
-
-    def reported(base: Column, accepted: Column) -> Column:
-        kept = F.filter(
-            F.col("tokens"),
-            lambda t: (t["bin"] <= F.coalesce(F.try_element_at(accepted, t["family"]), F.lit(-1)))
-            & ~F.exists(base, lambda s: (s["start"] <= t["start"]) & (s["end"] >= t["end"])),
-        )
-        rank = F.lit(KINDS.index("random"))
-        return F.transform(kept, lambda t: F.struct(t["start"].alias("start"), rank.alias("rank"), t["end"].alias("end")))
-
-    random = F.when(F.size("tokens") > 0, reported(F.col("base"), F.col("limits"))).otherwise(
-        F.array().cast("array<struct<start:bigint,rank:int,end:bigint>>")
-    )
-    return joined.select("doc_id", "text_key", "base", F.sort_array(F.concat("base", random)).alias("spans"))
+    return joined.select("doc_id", "base", all_spans(F.col("base"), F.col("tokens"), F.col("limits")).alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -266,17 +266,8 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, mask: str = "[SECRET]", alpha: float = FALSE_DISCOVERY) -> DataFrame:
-    """``docs`` with every span of its texts replaced by ``mask`` and n_chars, where there is one, counted anew.
-
-    Overlapping spans become one mask. Rows without a span stay as they are, null texts included; a text is matched to its
-    spans by doc_id and hash of the text.
-    """
-    found = find_secrets(docs, alpha).where(F.size("spans") > 0)
-    found = saved(found.select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"), "spans"), "secret-spans")
-    found = found.dropDuplicates(["of_doc", "of_text"])
-    same = docs["doc_id"].eqNullSafe(found["of_doc"]) & (F.xxhash64(docs["text"]) == found["of_text"])
-    text = docs["text"]
+def masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with every span, or run of overlapping spans, replaced by ``mask``."""
 
     def cut(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
@@ -287,17 +278,30 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]", alpha: float = FALSE_DISCO
         )
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    masked = F.aggregate(
-        found["spans"],
-        start,
-        cut,
-        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text))),
-    )
-    joined = docs.join(found, same, "left")
-    clean = F.when(found["spans"].isNull(), text).otherwise(masked)
-    columns = [docs[c] for c in docs.columns]
-    changed = {"text": clean.alias("text")}
+    rest = lambda s: F.substring(text, (s["at"] + 1).cast("int"), F.length(text))
+    return F.aggregate(spans, start, cut, lambda s: F.concat(F.array_join(s["out"], ""), rest(s)))
+
+
+def redacted(docs: DataFrame, mask: str = "[SECRET]", alpha: float = FALSE_DISCOVERY) -> DataFrame:
+    """``docs`` with every span of its texts replaced by ``mask`` and n_chars, where there is one, counted anew.
+
+    Overlapping spans become one mask. Rows without a span stay as they are, null texts included. The limits of the battery
+    come from a first pass over the tokens; the second pass finds and masks row by row, so no text is shuffled.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = limits(docs.select(F.explode(tested_tokens(text)).alias("t")).select("t.*"), alpha)
+    own = "found"
+    while own in docs.columns:
+        own = f"_{own}"
+    parts = F.struct(base_spans(text).alias("base"), tested_tokens(text).alias("tokens"))
+    scanned = docs.withColumn(own, parts).withColumn(f"{own}_limits", saved(found, "limits").scalar())
+    spans = all_spans(F.col(f"{own}.base"), F.col(f"{own}.tokens"), F.col(f"{own}_limits"))
+    scanned = scanned.withColumn(own, spans).drop(f"{own}_limits")
+    some = F.size(own) > 0
+    changed = {"text": F.when(some, masked(F.col("text"), F.col(own), mask)).otherwise(F.col("text")).alias("text")}
+    scanned = scanned.select(*(changed.get(c, F.col(c)) for c in docs.columns), some.alias(own))
     if "n_chars" in docs.columns:
-        count = F.when(found["spans"].isNull(), docs["n_chars"]).otherwise(F.length(masked))
-        changed["n_chars"] = count.cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return joined.select(*(changed.get(name, column) for name, column in zip(docs.columns, columns)))
+        kind = docs.schema["n_chars"].dataType
+        count = F.when(F.col(own), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        scanned = scanned.withColumn("n_chars", count)
+    return scanned.select(*docs.columns)
