@@ -9,6 +9,7 @@ against the sentencepiece library and decoded again; the ids of a text are put t
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -21,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faremill.llm.store import with_text_batches
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -238,7 +241,7 @@ def piece_bytes(model: Model) -> list[bytes]:
     ]
 
 
-def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, texts_at_once: int = 1 << 21) -> DataFrame:
+def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, texts_at_once: int = 1 << 20) -> DataFrame:
     """doc_id, ids, n_tokens, parity and round_trip of every row of ``docs`` (doc_id, text).
 
     ``model`` is the content of a SentencePiece model file; it is broadcast, so executors need no file. parity: the ids equal
@@ -250,16 +253,23 @@ def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, texts_at_once
 
     def work(batches):
         codec = Codec(shared.value, threads)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            begin = size = 0
-            for i, text in enumerate(texts):
-                size += len(text or "")
-                if size >= texts_at_once or i == len(texts) - 1:
-                    yield _rows(ids[begin : i + 1], list(codec.encode([t or "" for t in texts[begin : i + 1]])))
-                    begin, size = i + 1, 0
+        gc.disable()  # millions of small lists, none in a cycle, would be searched again and again
+        try:
+            for batch in batches:
+                yield from encode(codec, batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        finally:
+            gc.enable()
+
+    def encode(codec, ids, texts):
+        begin = size = 0
+        for i, text in enumerate(texts):
+            size += len(text or "")
+            if size >= texts_at_once or i == len(texts) - 1:
+                yield _rows(ids[begin : i + 1], list(codec.encode([t or "" for t in texts[begin : i + 1]])))
+                begin, size = i + 1, 0
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, ENCODED)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return with_text_batches(rows).mapInArrow(work, ENCODED)
 
 
 def _rows(doc_ids: list, found: list[tuple[np.ndarray, bool, bool]]) -> pa.RecordBatch:
@@ -284,4 +294,4 @@ def decoded(tokens: DataFrame, model: bytes) -> DataFrame:
             texts = backend.decode_batch([ids or [] for ids in batch.column(1).to_pylist()], skip_special_tokens=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return tokens.select(F.col("doc_id").cast("long"), "ids").mapInArrow(work, "doc_id long, text string")
+    return with_text_batches(tokens.select(F.col("doc_id").cast("long"), "ids")).mapInArrow(work, "doc_id long, text string")
