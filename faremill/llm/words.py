@@ -16,7 +16,7 @@ BLANKS = bytes([*range(0x09, 0x0E), 0x20])
 #: Every ASCII character that is neither a letter nor a digit.
 NON_WORD = bytes(c for c in range(128) if not chr(c).isalnum())
 #: Bytes of text that are hashed at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
