@@ -3,6 +3,8 @@
 Words and pairs of neighbouring words are hashed into a fixed number of buckets. Two smoothed multinomials over the
 buckets are counted: one over trusted texts, one over the whole corpus. A document's score is the mean over its n-grams
 of log p_target - log p_corpus, in fixed point, so that the verdict depends neither on summation order nor on the cluster.
+``judged`` takes a prior and a threshold as given; ``judged_by_trusted`` takes both from the trusted texts, so that its verdicts
+mean the same for any amount of them: their scores, each without its own part of the target, say where to cut.
 Everything runs on DataFrame functions. Only the weights cross to the scoring: one value per bucket.
 """
 
@@ -12,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from faremill.llm.store import saved
 
@@ -28,6 +31,9 @@ EVEN = 0.5
 SCALE = 1 << 16
 #: Mean nats per n-gram below which a document is rejected.
 THRESHOLD = -0.115
+#: What ``judged_by_trusted`` takes instead: pseudo n-grams as a share of the target's own, the share of trusted documents
+#: that may score below the threshold when not counted themselves, the parts they are left out in, and bins of one nat.
+PRIOR_SHARE, LOWEST, FOLDS, FINE = 0.5, 0.02, 4, 1 << 12
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -114,30 +120,78 @@ def with_base(docs: DataFrame) -> DataFrame:
     )
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, target_docs: int = TARGET_DOCS) -> DataFrame:
-    """One row: the fixed-point log ratio of every bucket, as an array.
+def fold_of(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FOLDS)).cast("int")
+
+
+def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, target_docs: int = TARGET_DOCS) -> DataFrame:
+    """bucket, corpus and, by fold of the trusted documents, target: how many n-grams fall into every bucket.
 
     The corpus is counted over every row of ``docs``, the target over the rows whose doc_id is among the first
     ``target_docs`` of ``trusted`` by hash of the id. That bound is the size of the one broadcast.
     """
     chosen = trusted.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs)
-    marked = docs.select("doc_id", "text").join(F.broadcast(chosen.withColumn("in_target", F.lit(1))), "doc_id", "left")
+    chosen = chosen.withColumn("fold", fold_of(F.col("doc_id")))
+    marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
     grams = let(word_hashes(words_of(F.col("text"))), lambda h: F.concat(h, joined_hashes(h, 1)))
-    counted = marked.select("in_target", F.explode(grams).alias("gram")).select("in_target", bucket(F.col("gram"), buckets).alias("bucket"))
-    counts = counted.groupBy("bucket").agg(F.count("in_target").alias("target"), F.count("*").alias("corpus"))
+    # One number per bucket and fold; the last fold is that of rows outside the target.
+    exploded = marked.select(F.coalesce("fold", F.lit(FOLDS)).alias("fold"), F.explode(grams).alias("gram"))
+    slots = exploded.select((bucket(F.col("gram"), buckets) * (FOLDS + 1) + F.col("fold")).alias("slot"))
+    counted = slots.groupBy("slot").agg(F.count("*").alias("n"))
+    counted = counted.select(F.floor(F.col("slot") / (FOLDS + 1)).cast("int").alias("bucket"), (F.col("slot") % (FOLDS + 1)).alias("fold"), "n")
+    of_fold = [F.coalesce(F.sum(F.when(F.col("fold") == k, F.col("n"))), F.lit(0)).alias(f"fold_{k}") for k in range(FOLDS)]
+    counts = counted.groupBy("bucket").agg(F.sum("n").alias("corpus"), *of_fold)
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
-    every = saved(every.na.fill(0, ["target", "corpus"]), "bucket-counts")
-    sums = every.agg(F.sum("target").alias("all_target"), F.sum("corpus").alias("all_corpus"))
+    return saved(every.na.fill(0), "bucket-counts")
 
-    def corpus_share(weight: float) -> Column:
-        return weight * buckets * (F.col("corpus") + EVEN) / (F.col("all_corpus") + EVEN * buckets)
 
-    target = (F.col("target") + corpus_share(PRIOR)) / (F.col("all_target") + PRIOR * buckets)
-    weight = F.round((F.log(target) - F.log(corpus_share(1) / buckets)) * SCALE).cast("int")
-    weight = F.when(F.col("all_target") > 0, weight).otherwise(F.lit(0))
-    pairs = every.crossJoin(F.broadcast(sums)).select(F.struct("bucket", weight.alias("weight")).alias("pair"))
+def bucket_weights(counts: DataFrame, buckets: int = BUCKETS, prior_share: float | None = None) -> DataFrame:
+    """One row: the fixed-point log ratio of every bucket, as an array; of the whole target, then without each fold.
+
+    The target is drawn to the corpus by ``prior_share`` of its own n-grams, or else by PRIOR per bucket.
+    """
+    folds = [F.col(f"fold_{k}") for k in range(FOLDS)]
+    whole = sum(folds[1:], folds[0])
+    parts = [whole] + [whole - fold for fold in folds]
+    sums = counts.agg(F.sum("corpus").alias("all_corpus"), *(F.sum(part).alias(f"all_{i}") for i, part in enumerate(parts)))
+
+    def corpus_share(weight: Column) -> Column:
+        return weight * (F.col("corpus") + EVEN) / (F.col("all_corpus") + EVEN * buckets)
+
+    def weight(i: int, part: Column) -> Column:
+        total = F.col(f"all_{i}")
+        pseudo = F.lit(float(PRIOR * buckets)) if prior_share is None else prior_share * total
+        # Without a target nothing is known; the 1 keeps the unused quotient defined.
+        target = (part + corpus_share(pseudo)) / F.greatest(total + pseudo, F.lit(1.0))
+        ratio = F.round((F.log(target) - F.log(corpus_share(F.lit(1.0)))) * SCALE).cast("int")
+        return F.when(total > 0, ratio).otherwise(F.lit(0))
+
+    named = [weight(i, part).alias(f"w{i}") for i, part in enumerate(parts)]
+    pairs = counts.crossJoin(F.broadcast(sums)).select(F.struct("bucket", *named).alias("pair"))
     listed = pairs.agg(F.sort_array(F.collect_list("pair")).alias("pairs"))
-    return saved(listed.select(F.transform("pairs", lambda p: p["weight"]).alias("weights")), "bucket-weights")
+    arrays = F.array(*(F.col("pairs").getField(f"w{i}") for i in range(len(parts))))
+    return saved(listed.select(arrays.alias("weights")), "bucket-weights")
+
+
+def _units(weights: Column, buckets: int) -> Column:
+    """The sum of the weights of a row's n-grams."""
+
+    def units(column: str, weight: Column) -> Column:
+        add = lambda total, h: total + F.get(weight, bucket(h, buckets))
+        return F.aggregate(F.col(column), F.lit(0).cast("long"), add)
+
+    return let(weights, lambda weight: units("hashes", weight) + units("pairs", weight))
+
+
+_MEASURES = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def _grams() -> Column:
+    return F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+
+
+def _failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
 def judged(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
@@ -148,23 +202,44 @@ def judged(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, threshol
     ``threshold`` mean nats. A null text counts as empty; a text without words has score 0. Repeated rows are judged
     each, and count in the corpus as often as they stand there. Without trusted documents every score is 0.
     """
-    weights = bucket_weights(docs, trusted, buckets)
-    base = with_base(docs)
+    weights = bucket_weights(bucket_counts(docs, trusted, buckets), buckets)
+    scored = with_base(docs).withColumn("weights", weights.scalar())
+    scored = scored.withColumn("units", _units(F.get("weights", F.lit(0)), buckets))
+    return scored.select(
+        *_MEASURES,
+        _failed().alias("base_failed"),
+        (~_failed() & (F.col("units") >= F.floor(F.lit(threshold * SCALE) * _grams()))).alias("kept"),
+        (F.col("units") / _grams() / F.lit(float(SCALE))).alias("score"),
+    )
 
-    def units(column: str, weight: Column) -> Column:
-        add = lambda total, h: total + F.get(weight, bucket(h, buckets))
-        return F.aggregate(F.col(column), F.lit(0).cast("long"), add)
 
-    def total(weight: Column) -> Column:
-        return units("hashes", weight) + units("pairs", weight)
+def judged_by_trusted(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, lowest: float = LOWEST) -> DataFrame:
+    """The columns of ``judged``, with a prior and a threshold that follow the trusted documents.
 
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    scored = base.withColumn("weights", weights.scalar()).withColumn("units", let(F.col("weights"), total))
-    score = F.col("units") / grams / F.lit(float(SCALE))
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return scored.select(
-        *("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"),
-        failed.alias("base_failed"),
-        (~failed & (F.col("units") >= F.floor(F.lit(threshold * SCALE) * grams))).alias("kept"),
-        score.alias("score"),
+    The prior is PRIOR_SHARE of the target's n-grams, so the least weight of a bucket is the same for any amount of trusted
+    text. The threshold is the greatest bin of 1 / FINE nats below which at most the share ``lowest`` of the trusted rows
+    that pass the plain rules score, each against the target without its own fold. Without such rows only the plain rules
+    reject.
+    """
+    weights = bucket_weights(bucket_counts(docs, trusted, buckets), buckets, PRIOR_SHARE)
+    scored = with_base(docs).withColumn("weights", weights.scalar())
+    held = F.get("weights", F.coalesce(fold_of(F.col("doc_id")), F.lit(0)) + 1)
+    scored = scored.select(
+        *_MEASURES,
+        _failed().alias("base_failed"),
+        _units(F.get("weights", F.lit(0)), buckets).alias("units"),
+        F.floor(_units(held, buckets) * FINE / (_grams() * SCALE)).alias("bin"),
+    )
+    scored = saved(scored, "scored")
+    own = scored.where("NOT base_failed").join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
+    bins = own.groupBy("bin").agg(F.count("*").alias("n"))
+    up_to = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = bins.select("bin", F.sum("n").over(up_to).alias("rank"), F.sum("n").over(Window.partitionBy()).alias("all"))
+    cut = saved(ranked.where(F.col("rank") > lowest * F.col("all")).agg(F.min("bin").alias("cut")), "cut")
+    above = F.coalesce(F.col("units") * FINE >= F.col("cut") * SCALE * _grams(), F.lit(True))
+    return scored.withColumn("cut", cut.scalar()).select(
+        *_MEASURES,
+        "base_failed",
+        (~F.col("base_failed") & above).alias("kept"),
+        (F.col("units") / _grams() / F.lit(float(SCALE))).alias("score"),
     )

@@ -36,7 +36,7 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return quality_rules.judged(_table(spark, sf_dir, "documents"), trusted)
+    return quality_rules.judged_by_trusted(_table(spark, sf_dir, "documents"), trusted)
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faremill.llm import decontamination, feistel, ngram_join, quality_model, quality_rules, secrets, sentencepieces
+from faremill.llm import decontamination, feistel, ngram_join, quality_model, quality_rules, queries, secrets, sentencepieces
 from faremill.llm.queries import MODEL_FILE
 from faremill.llm.words import BLANKS, WordHasher
 
@@ -212,6 +212,16 @@ def test_rules_reject_what_is_unlike_the_trusted(spark, docs, labels):
     assert found.where("quality = 1 AND NOT kept").count() == 0
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_rules_reject_labelled_bad_documents_at_every_size(spark, size):
+    found = queries.op2_quality_rules(spark, f"/root/testdata/{size}").where("NOT base_failed")
+    known = found.join(spark.read.parquet(f"/root/testdata/{size}/labels.parquet"), "doc_id")
+    each = F.count("*"), F.count_if(~F.col("kept"))
+    bad, good = (known.where(f"quality = {q}").agg(*each).first() for q in (0, 1))
+    assert bad[1] >= 0.75 * bad[0]
+    assert good[1] <= 0.02 * good[0]
+
+
 def _base_spans(text):
     kinds = ("assign", "access", "hex")
     assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
