@@ -5,7 +5,7 @@ encoding it seems to have. Each test is an equivalence test: its null hypothesis
 least a stated size per character, so a small p-value is evidence of randomness, and a short token can hardly get
 one. A token's p-value is the greatest of the three (it has to pass all of them). Within each family of one encoding and
 one band of lengths the Benjamini-Hochberg rule over all tokens of the corpus then decides which are reported.
-Everything runs on DataFrame functions; the rule needs only a histogram of fixed size per family.
+Everything runs on DataFrame functions; the rule needs only a histogram of log p-values, of fixed size, per family.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ BANDS = (32, 48, 96)
 #: of the length for the runs and serial-correlation tests.
 UNEVEN, DRIFT = 1.5, 0.6
 FALSE_DISCOVERY = 0.05
-BINS = 10_000
+#: Bins of p-values per power of ten, and the powers that they reach down to.
+BINS, POWERS = 100, 300
 
 
 def running(lengths: Column, block: int = 64) -> Column:
@@ -106,15 +107,29 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)).otherwise(_none())
 
 
-def normal_below(z: Column) -> Column:
-    """The standard normal distribution function, to 1e-7 (Abramowitz and Stegun 26.2.17)."""
+def powers_below(z: Column) -> Column:
+    """-log10 of the standard normal distribution function.
 
-    def tail(x: Column) -> Column:
+    Down to z = -4 by Abramowitz and Stegun 26.2.17, to 1e-7; below by the asymptotic series of the tail, which does not
+    underflow and is right to a fifth of a percent.
+    """
+    x = F.abs(z)
+
+    def tail() -> Column:
         t = 1 / (1 + 0.2316419 * x)
         poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
         return F.exp(-x * x / 2) * poly * 0.3989422804014327
 
-    return F.when(z > 0, 1 - tail(F.abs(z))).otherwise(tail(F.abs(z)))
+    far = F.greatest(x, F.lit(4.0))
+    step = 1 / (far * far)
+    series = 1 - step * (1 - 3 * step * (1 - 5 * step * (1 - 7 * step)))
+    beyond = far * far / 2 + F.log(far) + 0.9189385332046727 - F.log(series)
+    return F.when(z > 0, -F.log10(1 - tail())).when(z > -4, -F.log10(tail())).otherwise(beyond / 2.302585092994046)
+
+
+def bin_of(z: Column) -> Column:
+    """The bin of a p-value, rounded up: 0 for 1, BINS more for each power of ten below."""
+    return F.least(F.floor(powers_below(z) * BINS), F.lit(BINS * POWERS)).cast("int")
 
 
 def encoding(token: Column) -> Column:
@@ -126,8 +141,8 @@ def encoding(token: Column) -> Column:
     return F.when(token.rlike("[0-9]") & token.rlike("[A-Za-z]"), chosen)
 
 
-def p_value(token: Column, alphabet: Column) -> Column:
-    """The greatest p-value of the chi-squared, runs and serial-correlation tests against a departure from randomness."""
+def deviate(token: Column, alphabet: Column) -> Column:
+    """The greatest normal deviate of the chi-squared, runs and serial-correlation tests against a departure from randomness."""
     n, size = F.length(token).cast("double"), F.length(alphabet).cast("double")
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
@@ -137,7 +152,7 @@ def p_value(token: Column, alphabet: Column) -> Column:
 
     chi = size / n * squares() - n
     offset = n * UNEVEN
-    p_even = normal_below((chi - (size - 1 + offset)) / F.sqrt(2 * (size - 1 + 2 * offset)))
+    even = (chi - (size - 1 + offset)) / F.sqrt(2 * (size - 1 + 2 * offset))
 
     def runs(v: Column) -> Column:
         high = F.transform(v, lambda x: (x > (size - 1) / 2).cast("int"))
@@ -151,7 +166,7 @@ def p_value(token: Column, alphabet: Column) -> Column:
             spread = F.sqrt(mean * (mean - 1) / (n - 1))
             return F.when(mean > 1, F.abs(changes - mean) / spread).otherwise(n)
 
-        return normal_below(let(high, z) - DRIFT * F.sqrt(n))
+        return let(high, z) - DRIFT * F.sqrt(n)
 
     def serial(v: Column) -> Column:
         def correlation(mean: Column) -> Column:
@@ -165,10 +180,10 @@ def p_value(token: Column, alphabet: Column) -> Column:
             return let(apart, r)
 
         found = let(total(v) / n, correlation)
-        return normal_below((F.abs(found + 1 / n) - DRIFT) * F.sqrt(n))
+        return (F.abs(found + 1 / n) - DRIFT) * F.sqrt(n)
 
     values = F.transform(F.split(token, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
-    return F.greatest(p_even, let(values, lambda v: F.greatest(runs(v), serial(v))))
+    return F.greatest(even, let(values, lambda v: F.greatest(runs(v), serial(v))))
 
 
 def base_spans(text: Column) -> Column:
@@ -194,25 +209,25 @@ def tested_tokens(text: Column) -> Column:
     def tested(m: Column) -> Column:
         code = encoding(m["text"])
         band = sum((F.length(m["text"]) >= edge).cast("int") for edge in BANDS)
-        p = p_value(m["text"], F.element_at(names, code))
+        z = deviate(m["text"], F.element_at(names, code))
         return F.struct(
             m["start"].alias("start"),
             m["end"].alias("end"),
             F.concat_ws(":", code, band.cast("string")).alias("family"),
-            F.ceil(p * BINS).cast("int").alias("bin"),
+            bin_of(z).alias("bin"),
         )
 
     return F.transform(F.filter(matches(text, TOKEN_PATTERN), lambda m: encoding(m["text"]).isNotNull()), tested)
 
 
 def limits(tokens: DataFrame, alpha: float = FALSE_DISCOVERY) -> DataFrame:
-    """One row: by family, the greatest bin of p-values that the Benjamini-Hochberg rule accepts."""
+    """One row: by family, the bin of the greatest p-values that the Benjamini-Hochberg rule accepts."""
     counts = tokens.groupBy("family", "bin").agg(F.count("*").alias("n"))
     family = Window.partitionBy("family")
-    up_to = F.sum("n").over(family.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    up_to = F.sum("n").over(family.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = counts.select("family", "bin", up_to.alias("rank"), F.sum("n").over(family).alias("all"))
-    taken = ranked.where(F.col("bin") / BINS <= alpha * F.col("rank") / F.col("all"))
-    each = taken.groupBy("family").agg(F.max("bin").alias("bin"))
+    taken = ranked.where(F.pow(F.lit(10.0), -F.col("bin") / BINS) <= alpha * F.col("rank") / F.col("all"))
+    each = taken.groupBy("family").agg(F.min("bin").alias("bin"))
     return each.agg(F.map_from_entries(F.collect_list(F.struct("family", "bin"))).alias("limits"))
 
 
@@ -221,7 +236,7 @@ def all_spans(base: Column, tokens: Column, accepted: Column) -> Column:
     rank = F.lit(KINDS.index("random"))
     kept = F.filter(
         tokens,
-        lambda t: (t["bin"] <= F.coalesce(F.try_element_at(accepted, t["family"]), F.lit(-1)))
+        lambda t: (t["bin"] >= F.try_element_at(accepted, t["family"]))
         & ~F.exists(base, lambda s: (s["start"] <= t["start"]) & (s["end"] >= t["end"])),
     )
     reported = F.transform(kept, lambda t: F.struct(t["start"].alias("start"), rank.alias("rank"), t["end"].alias("end")))

@@ -247,6 +247,23 @@ def test_the_battery_reports_random_tokens_only(spark):
     assert not any(found[100 + i] for i in range(60))
 
 
+def test_rare_secrets_are_found_in_a_large_family(spark):
+    """5 of 10,000 tokens of a family are random: far fewer than one p-value in 10,000 could let through."""
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, "".join(_dice.choice(alphabet) for _ in range(100))) for i in range(5)]
+    rows += [(100 + i, f"{'abcD' * 22}{i:09d}") for i in range(9_995)]
+    found = secrets.digest(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).where("n_random > 0")
+    assert sorted(r.doc_id for r in found.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_bins_follow_the_normal_tail(spark):
+    from math import erfc, log10, sqrt
+
+    for z in (-30.0, -12.5, -6.0, -4.001, -3.999, -2.0, 0.0, 1.0, 40.0):
+        assert abs(spark.range(1).select(secrets.powers_below(F.lit(z))).first()[0] + log10(erfc(-z / sqrt(2)) / 2)) < 2e-3
+    assert spark.range(1).select(secrets.bin_of(F.lit(-1e6))).first()[0] == secrets.BINS * secrets.POWERS
+
+
 def test_running_sums_cross_blocks(spark):
     for n in (0, 1, 63, 64, 65, 200):
         row = spark.range(1).select(secrets.running(F.array(*(F.lit(i).cast("long") for i in range(n))).cast("array<bigint>"))).first()
