@@ -2,8 +2,10 @@
 
 The battery asks of every token whether its characters look uniformly and independently drawn from the alphabet of the
 encoding it seems to have. Each test is an equivalence test: its null hypothesis is a departure from randomness of at
-least a stated size per character, so a small p-value is evidence of randomness, and a short token can hardly get
-one. A token's p-value is the greatest of the three (it has to pass all of them). Within each family of one encoding and
+least a stated size per character, so a small p-value is evidence of randomness. Text departs in two ways, in uneven
+characters and in few changes between digits, small and capital letters; the deviates of these two make one, since neither
+can convict a short token. The runs and serial-correlation tests of order have to be passed besides: the greatest of the three
+counts. Within each family of one encoding and
 one band of lengths the Benjamini-Hochberg rule over all tokens of the corpus then decides which are reported.
 Everything runs on DataFrame functions; the rule needs only a histogram of log p-values, of fixed size, per family.
 """
@@ -26,8 +28,16 @@ TOKEN_PATTERN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 KINDS = ("assign", "access", "hex", "random")
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Encodings in the order they are tried; the first whose alphabet holds every character is the inferred one.
-ALPHABETS = {
+#: Encodings in the order they are tried; the first whose alphabet holds every character is the inferred one. Tokens
+#: without a digit have families of their own, so that words and slugs do not outnumber the others.
+LETTERS_ONLY = {
+    "lower": _LOWER,
+    "upper": _UPPER,
+    "letters": _LOWER + _UPPER,
+    "letters64": _UPPER + _LOWER + "+/",
+    "letters64url": _UPPER + _LOWER + "-_",
+}
+ALPHABETS = LETTERS_ONLY | {
     "hex": _DIGITS + "abcdef",
     "HEX": _DIGITS + "ABCDEF",
     "base32": _UPPER + "234567",
@@ -39,9 +49,12 @@ ALPHABETS = {
 }
 #: Lengths at which a new band of a family begins.
 BANDS = (32, 48, 96)
-#: Departures that count as not random: squared effect size of the chi-squared test, and standard deviations per root
-#: of the length for the runs and serial-correlation tests.
-UNEVEN, DRIFT = 1.5, 0.6
+#: Departures that count as not random: in evenness half of what running text has, whose letters' squared shares sum to
+#: LANGUAGE (hexadecimal digits are no text); in changes of class these shares of what random characters have, with
+#: digits in the alphabet and without; in order so many standard deviations per root of the length.
+LANGUAGE, UNEVEN_HEX, CHANGES, DRIFT = 0.065, 1.5, (0.6, 0.7), 0.8
+CLASSES = (_DIGITS, _LOWER, _UPPER, "+/-_")
+CLASS_RUN = "[0-9]+|[a-z]+|[A-Z]+|[+/_-]+"
 FALSE_DISCOVERY = 0.05
 #: Bins of p-values per power of ten, and the powers that they reach down to.
 BINS, POWERS = 100, 300
@@ -133,16 +146,22 @@ def bin_of(z: Column) -> Column:
 
 
 def encoding(token: Column) -> Column:
-    """The inferred encoding; null for tokens of letters or digits alone, which are words and numbers."""
+    """The inferred encoding; null for tokens without a letter, which are numbers."""
     chosen = None
     for name, alphabet in ALPHABETS.items():
         fits = token.rlike("^[" + alphabet.replace("-", r"\-") + "]+$")
         chosen = F.when(fits, F.lit(name)) if chosen is None else chosen.when(fits, F.lit(name))
-    return F.when(token.rlike("[0-9]") & token.rlike("[A-Za-z]"), chosen)
+    return F.when(token.rlike("[A-Za-z]"), chosen)
+
+
+def _null_changes(alphabet: str) -> float:
+    """The chance of a change of class between neighbours up to which a token may be text; 0 for a single class."""
+    shares = [sum(c in kind for c in alphabet) / len(alphabet) for kind in CLASSES]
+    return CHANGES[shares[0] == 0] * (1 - sum(x * x for x in shares))
 
 
 def deviate(token: Column, alphabet: Column) -> Column:
-    """The greatest normal deviate of the chi-squared, runs and serial-correlation tests against a departure from randomness."""
+    """The normal deviate of all tests together against a departure from randomness."""
     n, size = F.length(token).cast("double"), F.length(alphabet).cast("double")
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
@@ -151,7 +170,7 @@ def deviate(token: Column, alphabet: Column) -> Column:
         return total(F.transform(counts, lambda k: k * k))
 
     chi = size / n * squares() - n
-    offset = n * UNEVEN
+    offset = n * F.when(size <= 16, F.lit(UNEVEN_HEX)).otherwise((LANGUAGE * size - 1) / 2)
     even = (chi - (size - 1 + offset)) / F.sqrt(2 * (size - 1 + 2 * offset))
 
     def runs(v: Column) -> Column:
@@ -183,7 +202,15 @@ def deviate(token: Column, alphabet: Column) -> Column:
         return (F.abs(found + 1 / n) - DRIFT) * F.sqrt(n)
 
     values = F.transform(F.split(token, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
-    return F.greatest(even, let(values, lambda v: F.greatest(runs(v), serial(v))))
+    rates = F.create_map(*(F.lit(x) for letters in ALPHABETS.values() for x in (letters, _null_changes(letters))))
+
+    def against_text(rate: Column) -> Column:
+        changes = F.regexp_count(token, F.lit(CLASS_RUN)) - 1
+        few = ((n - 1) * rate - changes) / F.sqrt((n - 1) * rate * (1 - rate))
+        return F.when(rate > 0, (even + few) / F.sqrt(F.lit(2.0))).otherwise(even)
+
+    text = let(F.element_at(rates, alphabet), against_text)
+    return F.greatest(text, let(values, lambda v: F.greatest(runs(v), serial(v))))
 
 
 def base_spans(text: Column) -> Column:
@@ -214,7 +241,7 @@ def tested_tokens(text: Column) -> Column:
             m["start"].alias("start"),
             m["end"].alias("end"),
             F.concat_ws(":", code, band.cast("string")).alias("family"),
-            bin_of(z).alias("bin"),
+            let(z, bin_of).alias("bin"),
         )
 
     return F.transform(F.filter(matches(text, TOKEN_PATTERN), lambda m: encoding(m["text"]).isNotNull()), tested)

@@ -256,6 +256,36 @@ def test_rare_secrets_are_found_in_a_large_family(spark):
     assert sorted(r.doc_id for r in found.collect()) == [0, 1, 2, 3, 4]
 
 
+_SLUG_WORDS = """the of and get set user request response handler client factory builder manager server config value index
+    with from data base table query service account update delete order customer version report article section news world
+    people market health science travel school family company government question because through between important""".split()
+
+
+def _recall(spark, alphabet, length, share, name, total=2000):
+    """Shares of random tokens and of joined words that the battery reports in a family of both."""
+    n = int(total * share)
+    rows = [(i, "".join(_dice.choice(alphabet) for _ in range(length))) for i in range(n)]
+    for i in range(n, total):
+        words = ""
+        while len(words) < length:
+            words += _dice.choice(_SLUG_WORDS).capitalize() if name else _dice.choice(_SLUG_WORDS) + "-"
+        rows.append((i, words[: length - 2] + (f"{i % 100:02d}" if name == "digits" else "xY")))
+    found = secrets.digest(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).where("n_random > 0")
+    ids = [r.doc_id for r in found.collect()]
+    return sum(i < n for i in ids) / n, sum(i >= n for i in ids) / max(len(ids), 1)
+
+
+@pytest.mark.parametrize("length, share, least", [(20, 0.5, 0.5), (24, 0.5, 0.7), (31, 0.1, 0.75), (40, 0.1, 0.85), (64, 0.01, 0.8)])
+def test_short_random_tokens_are_found_among_words(spark, length, share, least):
+    recall, wrong = _recall(spark, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", length, share, "digits")
+    assert recall >= least and wrong <= 0.1
+
+
+def test_random_tokens_without_a_digit_are_found(spark):
+    recall, wrong = _recall(spark, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 32, 0.1, "letters")
+    assert recall >= 0.2 and wrong <= 0.1
+
+
 def test_bins_follow_the_normal_tail(spark):
     from math import erfc, log10, sqrt
 
