@@ -2,7 +2,7 @@
 
 Segments that are numbers, dates, hashes and the like become typed wildcards row by row; what is left is folded into one
 row per host and path before any tree work. Then, level by level, rare children of a node with many of them become
-one wildcard; siblings that lead to the same kind of path are ordered by their share of bad labels, and neighbours whose
+one wildcard, but for those whose labels differ significantly from it, which become one per tenth of the bad share; siblings that lead to the same kind of path are ordered by their share of bad labels, and neighbours whose
 shares do not differ significantly are merged. Siblings without labels are merged with each other. Every template's
 share of bad labels is smoothed towards that of its host, and that towards the corpus. Everything runs on DataFrame
 functions.
@@ -22,6 +22,8 @@ RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block"
 DEPTH = 8
 #: A node with more children than this has the rare ones generalised: those below this share of its rows.
 MANY_CHILDREN, RARE_SHARE = 20, 0.05
+#: Chance that any rare child of a node is told from the others though all have one share, and bins of the told ones.
+FALSE_ODD, SHARE_BINS = 0.05, 10
 #: Standard errors up to which the bad shares of two branches count as the same.
 SIMILAR = 1.96
 #: Labelled rows that the prior of a template weighs, and the purity below which a template is rejected.
@@ -100,6 +102,17 @@ def _level(tree: DataFrame, level: int) -> DataFrame:
     judged = children.join(nodes, node).withColumn(
         "rare", (F.col("children") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("all"))
     )
+    # A rare child is odd where Chernoff's bound, which holds for few labels too, rules the share of all rare ones out.
+    pooled = judged.where("rare").groupBy(*node).agg(
+        ((F.sum("bad") + 0.5) / (F.sum("labelled") + 1)).alias("usual"), F.count_if(F.col("labelled") > 0).alias("tested")
+    )
+    own = F.col("bad") / F.greatest("labelled", F.lit(1))
+    apiece = lambda x, usual: F.when(x > 0, x * F.log(F.greatest(x, F.lit(1e-300)) / usual)).otherwise(0.0)
+    excess = F.col("labelled") * (apiece(own, F.col("usual")) + apiece(1 - own, 1 - F.col("usual")))
+    odd = F.coalesce(F.col("rare") & (F.col("labelled") > 0) & (excess > F.log(F.greatest(2 * F.col("tested") / FALSE_ODD, F.lit(1.0)))), F.lit(False))
+    tenth = F.least(F.floor(own * SHARE_BINS), F.lit(SHARE_BINS - 1)).cast("string")
+    wild = F.when(odd, F.concat(F.lit("{*"), tenth, F.lit("}"))).otherwise(F.lit("{*}"))
+    judged = judged.join(pooled, node, "left").withColumn("wild", wild).drop("usual", "tested")
     # Frequent children are few: at most MANY_CHILDREN of them, or 1 / RARE_SHARE.
     kin = Window.partitionBy(*node, "tail", F.col("labelled") > 0).orderBy("share", "child")
     often = judged.where("NOT rare").withColumn("share", (F.col("bad") + 0.5) / (F.col("labelled") + 1))
@@ -113,7 +126,7 @@ def _level(tree: DataFrame, level: int) -> DataFrame:
     branch = F.when(F.col("known"), F.concat(F.lit("{+"), F.col("branch").cast("string"), F.lit("}"))).otherwise(F.lit("{+}"))
     merged = group.select(*node, "child", F.when(F.count("*").over(alike) > 1, branch).alias("merged"))
     together = judged.join(merged, [*node, "child"], "left")
-    name = F.when(F.col("rare"), F.lit("{*}")).otherwise(F.coalesce("merged", "child"))
+    name = F.when(F.col("rare"), F.col("wild")).otherwise(F.coalesce("merged", "child"))
     names = together.select(*node, "child", name.alias("name"))
     joined = rows.join(names, [*node, "child"], "left")
     grown = F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))

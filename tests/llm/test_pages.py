@@ -136,6 +136,25 @@ def test_templates_are_rejected_by_labels(spark):
     assert templates["good"] == templates["fine"] == "/{+0}/{*}/{num}"
 
 
+def test_rare_sections_are_judged_by_their_own_labels(spark):
+    """25 sections of 4 % each: three are all bad, and one of the good ones has three bad pages by chance."""
+    names = [a + b for a in "abcde" for b in "vwxyz"]
+    rows = [(i, f"http://h.net.test/{names[i % 25]}/{i}") for i in range(2500)]
+    marks = [(i, not (i % 25 < 3 or i in (3, 28, 53))) for i in range(2500)]
+    keyed = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(marks, "url_key long, good boolean")
+    found = url_filters.judged(keyed, labels).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == {i for i in range(2500) if i % 25 < 3}
+
+
+def test_rare_sections_with_chance_labels_stay_together(spark):
+    rows = [(i, f"http://h.net.test/{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}x/{i}") for i in range(1000)]
+    labels = spark.createDataFrame([(i, i * 7919 % 10 > 2) for i in range(0, 1000, 7)], "url_key long, good boolean")
+    found = url_filters.judged(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert {r.verdict for r in found} == {"allow"}
+    assert len({r.template for r in found}) == 1
+
+
 def test_derived_records(spark, pages):
     responses = warc.responses(pages)
     rows = warc.derivatives(responses).collect()
