@@ -54,5 +54,56 @@ GROUP BY l.r, l.doc_id
 """
 
 
+def _op13(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The codebooks of every round are common table expressions of their own."""
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+)""",
+        f"""
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS v FROM kept, range({parts}) t(p)
+)""",
+        f"""
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM parts WHERE r <= {entries})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""
+near{i} AS MATERIALIZED (
+  SELECT r, a.p AS p, any_value(a.v) AS v, min({{'d': CAST(list_sum(list_transform(
+    list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'e': e}}) AS best
+  FROM parts a JOIN book{i} b ON a.p = b.p GROUP BY ALL
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""
+book{i + 1} AS MATERIALIZED (
+  WITH single AS (SELECT p, best.e AS e, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM near{i}),
+  means AS (SELECT p, e, k, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+            FROM single GROUP BY ALL),
+  moved AS (SELECT p, e, list(x ORDER BY k) AS v FROM means GROUP BY ALL)
+  SELECT b.p AS p, b.e AS e, coalesce(m.v, b.v) AS v FROM book{i} b LEFT JOIN moved m ON m.p = b.p AND m.e = b.e
+)"""
+            )
+    return (
+        "WITH "
+        + ",".join(steps)
+        + f""",
+codes AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d) AS error FROM near{rounds} GROUP BY r
+)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN codes USING (r)
+"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5, "op10_ngram_join": OP10}
+    return {"op5_decontamination": OP5, "op10_ngram_join": OP10, "op13_vector_codes": _op13()}
