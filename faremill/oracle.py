@@ -300,7 +300,20 @@ def oracle_sql() -> dict[str, str]:
         ),
         "report_tables": _silver(ROUTES),
         "landing_consume": _with("SELECT 2 * count(*) AS rows_landed, 0 AS files_left FROM raw", **raw),
-        "landing_retry": _with("SELECT *, 1 AS records FROM raw", **raw),
+        "landing_retry": _with("SELECT *, 1 AS records, 1 AS vanished FROM raw", **raw),
+        "landing_overlap": _with(
+            "SELECT Airline, count(*) AS flights, run FROM raw, "
+            "(VALUES ('one'), ('two'), ('left')) AS runs(run) "
+            "WHERE run <> 'two' OR Additional_Info = 'A' GROUP BY Airline, run",
+            **raw,
+        ),
+        "landing_breaks": _with(
+            "SELECT Airline, 'first' || chr(10) || '\"second\", ' || Additional_Info AS Additional_Info, "
+            "count(*) AS flights FROM raw GROUP BY ALL UNION ALL "
+            "SELECT Airline, Additional_Info, count(*) FROM raw GROUP BY ALL UNION ALL "
+            "SELECT 'malformed', 'few,fie\"lds', count(*) FROM raw",
+            **raw,
+        ),
         "pipeline_report": _silver(AIRLINES, **airlines),
         "rollback": _silver(
             "SELECT count(*) AS rows_written, 0 AS tables_left, 0 AS files_left FROM silver"

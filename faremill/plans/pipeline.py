@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from faremill.operators.runs import first_errors, run_gate
 from faremill.plans import gold, report, silver
 from faremill.plans.bronze import bronze_flights
 from faremill.schemas import INGEST_FILES
-from faremill.sources import landing, tables
+from faremill.sources import claims, landing, tables
 from faremill.sources.tables import Warehouse
-from faremill.storage import delete_path, path_exists, stored
+from faremill.storage import delete_path, file_count, path_exists, stored
 
 
 class IngestFailed(RuntimeError):
@@ -41,29 +42,40 @@ def run_record(outcomes: DataFrame, *run: str) -> DataFrame:
 
 
 def list_run(spark: SparkSession, root: str, warehouse: Warehouse, run_id: str) -> DataFrame:
-    """The run's manifest, written once; a repeated run id goes on from the one there is."""
+    """Claims the landed files and writes the run's manifest, once.
+
+    A repeated run id goes on from the manifest there is; until it is written, files that come are claimed too.
+    """
     path = f"{warehouse.run_state(run_id)}/manifest"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        with stored(spark, landing.list_files(spark, root), "listing") as listing:
-            batches = -(-listing.count() // landing.FILES_PER_BATCH)
-            landing.manifest(listing, max(batches, 1)).write.mode("overwrite").parquet(path)
+        held = claims.claim(spark, root, run_id)
+        with landing.stored_listing(spark, root, held) as listing:
+            depth = F.max(F.size(F.split("held_path", "/")))
+            seen = listing.agg(F.count("*").alias("files"), depth.alias("depth")).first()
+            if file_count(spark, held) > seen.files:
+                claims.return_hidden(spark, root, run_id, seen.depth or claims.LEVELS)
+            landing.manifest(listing).write.mode("overwrite").parquet(path)
     files = spark.read.parquet(path)
     return files.withColumn(landing.MODIFIED, F.unix_millis("modificationTime"))
 
 
 def convert_run(spark: SparkSession, files: DataFrame, warehouse: Warehouse, run_id: str) -> DataFrame:
-    """Every batch of the run that is not committed yet; outcomes of all files.
+    """Every batch of the run that is not committed yet, a few at a time; outcomes of all files.
 
     A batch is committed by its outcomes, which are written after its rows; a committed batch is never written again.
     """
     state = warehouse.run_state(run_id)
     batches = sorted(row.batch for row in files.select("batch").distinct().collect())
-    for batch in landing.remaining_batches(spark, state, batches):
+
+    def convert(batch: int) -> None:
         own = files.where(F.col("batch") == batch)
         chosen = own.where((F.col("action") == "csv") & ~F.col("superseded"))
         facts = landing.convert_batch(spark, chosen, f"{warehouse.converted}/run_id={run_id}/batch={batch}")
         outcomes = landing.file_outcomes(own, facts).withColumn("run_id", F.lit(run_id))
         outcomes.write.mode("overwrite").parquet(f"{state}/outcomes/batch={batch}")
+
+    with ThreadPoolExecutor(landing.BATCHES_AT_ONCE) as pool:
+        list(pool.map(convert, landing.remaining_batches(spark, state, batches)))
     schema = StructType([*INGEST_FILES.fields, *files.select("length", "modificationTime").schema.fields])
     if not batches:
         return spark.createDataFrame([], schema)
@@ -81,9 +93,9 @@ def record_run(spark: SparkSession, outcomes: DataFrame, warehouse: Warehouse, r
 def land(spark: SparkSession, root: str, warehouse: Warehouse, run_id: str | None = None) -> str:
     """C1 up to the gate: landed files to Parquet, outcomes recorded, bad runs undone.
 
-    Every step leaves a committed mark under the run's own folder, so the same run id goes on where it was
-    broken off, and is a no-op once done; it never reads or clears what arrived after its listing. The
-    landing area is cleared only after a successful verdict. Returns the run id.
+    The run first claims what has landed, so runs that overlap share no file. Every step leaves a committed mark under
+    the run's own folder, so the same run id goes on where it was broken off, and is a no-op once done. Claimed files are
+    deleted only after a successful verdict and returned after another. Returns the run id.
     """
     run_id = run_id or uuid.uuid4().hex
     files = list_run(spark, root, warehouse, run_id)
@@ -92,11 +104,12 @@ def land(spark: SparkSession, root: str, warehouse: Warehouse, run_id: str | Non
     verdict = run_gate(outcomes).first()
     if verdict["verdict"] == "fail":
         delete_path(spark, f"{warehouse.converted}/run_id={run_id}")
+        claims.give_back(spark, root, run_id)
         messages = [row["message"] for row in first_errors(outcomes).collect()]
         raise IngestFailed(
             f"{verdict['files_processed']} files processed, {verdict['errors']} errors: " + "; ".join(messages)
         )
-    landing.consume(spark, root, outcomes, f"{warehouse.base}/quarantine/run_id={run_id}")
+    landing.consume(spark, root, run_id, outcomes, f"{warehouse.base}/quarantine/run_id={run_id}")
     return run_id
 
 

@@ -21,7 +21,7 @@ from faremill.schemas import INGEST_RUNS
 from faremill.sources import landing, tables
 from faremill.sources.star import raw_flights
 from faremill.sources.tables import Warehouse
-from faremill.storage import delete_files, delete_path, file_count, move_file, path_exists, scratch_path
+from faremill.storage import delete_path, file_count, in_parallel, move_file, path_exists, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +86,7 @@ def _land_files(spark: SparkSession, folder: str) -> str:
 def bronze_raw_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Text files in, Parquet out and back."""
     root, path = _land_files(spark, folder), scratch_path(spark, "converted")
-    landing.write_converted(landing.scan_csv(spark, root), path)
+    landing.write_converted(landing.scan_files(spark, [root], landing.LANDED_CSV), path)
     return _kept(spark, landing.read_converted(spark, path), root, path)
 
 
@@ -268,17 +268,64 @@ def landing_consume(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landing_retry(spark: SparkSession, folder: str) -> DataFrame:
-    """A run that broke off while it cleared the landing folder, repeated under its id."""
+    """A run that broke off while it cleared, repeated; a file went away before it was converted."""
     warehouse, root = _new_warehouse(spark), _land_files(spark, folder)
+    raw_flights(spark, folder).limit(3).coalesce(1).write.options(**landing.CSV_FORMAT).csv(f"{root}/lost")
     files = pipeline.list_run(spark, root, warehouse, "r1")
+    lost = files.where("path LIKE '%/lost/%'").select("held_path")
+    in_parallel(lambda path: delete_path(spark, path), (row.held_path for row in lost.toLocalIterator()))
     pipeline.record_run(spark, pipeline.convert_run(spark, files, warehouse, "r1"), warehouse, "r1")
-    gone = files.where(F.pmod(F.xxhash64("path"), F.lit(2)) == 0).select("path")
-    delete_files(spark, (row.path for row in gone.toLocalIterator()))
+    gone = files.where(F.pmod(F.xxhash64("path"), F.lit(2)) == 0).select("held_path")
+    in_parallel(lambda path: delete_path(spark, path), (row.held_path for row in gone.toLocalIterator()))
     for _ in range(2):
         pipeline.land(spark, root, warehouse, run_id="r1")
     records = tables.read_table(spark, warehouse, "ops.ingest_runs").count()
+    vanished = tables.read_table(spark, warehouse, "ops.ingest_files").where("status = 'vanished'").count()
     result = landing.read_converted(spark, warehouse.converted)
-    return _kept(spark, result.withColumn("records", F.lit(records)), root, warehouse=warehouse)
+    result = result.withColumns({"records": F.lit(records), "vanished": F.lit(vanished)})
+    return _kept(spark, result, root, warehouse=warehouse)
+
+
+def landing_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs at once, each step of the one between two of the other; rows landed by each, files left."""
+    warehouse, root = _new_warehouse(spark), scratch_path(spark, "raw")
+    rows = raw_flights(spark, folder)
+
+    def drop_in(flights: DataFrame, name: str) -> None:
+        flights.write.options(**landing.CSV_FORMAT).csv(f"{root}/{name}")
+
+    drop_in(rows, "first")
+    one = pipeline.list_run(spark, root, warehouse, "one")
+    drop_in(rows.where("Additional_Info = 'A'"), "second")
+    two = pipeline.list_run(spark, root, warehouse, "two")
+    for files, run_id in ((two, "two"), (one, "one")):
+        pipeline.convert_run(spark, files, warehouse, run_id)
+    drop_in(rows, "third")
+    for run_id in ("one", "two"):
+        pipeline.land(spark, root, warehouse, run_id=run_id)
+    left = landing.scan_files(spark, [root], landing.LANDED_CSV)
+    landed = {run: landing.read_converted(spark, f"{warehouse.converted}/run_id={run}") for run in ("one", "two")}
+    landed["left"] = left.where(F.col(landing.LAYOUT).isNull()).select(*landed["one"].columns)
+    counted = [frame.groupBy("Airline").agg(F.count("*").alias("flights")).withColumn("run", F.lit(run)) for run, frame in landed.items()]
+    return _kept(spark, counted[0].union(counted[1]).union(counted[2]), root, warehouse=warehouse)
+
+
+def landing_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields with line breaks in quotes arrive whole; lines of a wrong length in other files stay apart."""
+    warehouse, root = _new_warehouse(spark), scratch_path(spark, "raw")
+    rows = raw_flights(spark, folder)
+    broken = rows.withColumn("Additional_Info", F.concat(F.lit("first\n\"second\", "), F.col("Additional_Info")))
+    broken.write.options(**landing.CSV_FORMAT).csv(f"{root}/breaks")
+    header = F.lit(",".join(rows.columns))
+    lines = F.concat_ws("\n", header, F.to_csv(F.struct(*rows.columns)), F.lit('few,fie"lds'))
+    rows.select(lines).write.text(f"{root}/short")
+    _rename(spark, f"{root}/short", lambda i: f"{root}/short-{i}.csv")
+    pipeline.land(spark, root, warehouse)
+    good = landing.read_converted(spark, warehouse.converted)
+    bad = landing.malformed_rows(spark, warehouse.converted)
+    counts = good.groupBy("Airline", "Additional_Info").agg(F.count("*").alias("flights"))
+    lines = bad.groupBy(F.lit("malformed").alias("Airline"), F.col("malformed_record")).agg(F.count("*").alias("flights"))
+    return _kept(spark, counts.union(lines), root, warehouse=warehouse)
 
 
 def report_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -384,6 +431,8 @@ def queries() -> dict[str, Query]:
         "landing_manifest": landing_manifest,
         "landing_consume": landing_consume,
         "landing_retry": landing_retry,
+        "landing_overlap": landing_overlap,
+        "landing_breaks": landing_breaks,
         "report_tables": report_tables,
         "pipeline_report": pipeline_report,
         "rollback": rollback,

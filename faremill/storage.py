@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from itertools import islice
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-DELETE_THREADS = 16
-DELETE_BATCH = 1000
+#: File system calls at a time, and paths that wait for them.
+CALL_THREADS = 16
+CALL_BATCH = 1000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,10 +53,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def tree_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files below a path, or the file itself, and folders below it; none where there is no such path."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return 0, 0
+    summary = fs.getContentSummary(target)
+    return summary.getFileCount(), max(0, summary.getDirectoryCount() - 1)
+
+
 def file_count(spark: SparkSession, path: str) -> int:
     """Files below a path; 0 when there is no such path."""
-    fs, target = _file_system(spark, path)
-    return fs.getContentSummary(target).getFileCount() if fs.exists(target) else 0
+    return tree_size(spark, path)[0]
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
@@ -68,14 +78,69 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
-def delete_files(spark: SparkSession, paths: Iterable[str]) -> int:
-    """Deletes exactly the given files, in parallel, holding one batch of names at a time."""
+def in_parallel(call: Callable[[str], object], paths: Iterable[str]) -> int:
+    """Calls ``call`` on every path from a few threads, holding one batch of paths at a time; how many there were."""
     names = iter(paths)
-    deleted = 0
-    with ThreadPoolExecutor(DELETE_THREADS) as pool:
-        while batch := list(islice(names, DELETE_BATCH)):
-            deleted += sum(pool.map(lambda path: delete_path(spark, path), batch))
-    return deleted
+    done = 0
+    with ThreadPoolExecutor(CALL_THREADS) as pool:
+        while batch := list(islice(names, CALL_BATCH)):
+            done += len(list(pool.map(call, batch)))
+    return done
+
+
+def missing(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Those of the given paths where nothing is."""
+    gone: list[str] = []
+    in_parallel(lambda path: path_exists(spark, path) or gone.append(path), paths)
+    return set(gone)
+
+
+def delete_empty(spark: SparkSession, folder: str) -> bool:
+    """Deletes a folder that holds nothing; anything in it keeps it."""
+    fs, target = _file_system(spark, folder)
+    try:
+        return fs.delete(target, False)
+    except Py4JJavaError:
+        return False
+
+
+def matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths below a folder that match a glob pattern of few matches."""
+    fs, target = _file_system(spark, folder)
+    # Characters of the folder's own name are no pattern.
+    plain = "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in target.toString())
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(plain + pattern))
+    return [status.getPath().toString() for status in found or []]
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as listings show it, with scheme and authority."""
+    fs, target = _file_system(spark, path)
+    return fs.makeQualified(target).toString()
+
+
+def children(spark: SparkSession, folder: str) -> Iterator[tuple[str, bool]]:
+    """Path and whether it is a folder, of every direct entry; the listing is streamed, not held."""
+    fs, target = _file_system(spark, folder)
+    if fs.exists(target):
+        entries = fs.listStatusIterator(target)
+        while entries.hasNext():
+            entry = entries.next()
+            yield entry.getPath().toString(), entry.isDirectory()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """One atomic move within a file system; False where the source is not there or the target is taken."""
+    fs, here = _file_system(spark, source)
+    there = _file_system(spark, target)[1]
+    if not fs.exists(here) or fs.exists(there):
+        return False
+    try:
+        return fs.rename(here, there)
+    except Py4JJavaError as error:
+        if "FileNotFoundException" in str(error.java_exception):
+            return False
+        raise
 
 
 def move_file(spark: SparkSession, source: str, target: str) -> None:

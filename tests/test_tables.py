@@ -10,7 +10,7 @@ from faremill.plans.bronze import bronze_flights
 from faremill.schemas import DIM_AIRLINES
 from faremill.sources import landing, tables
 from faremill.sources.tables import Warehouse
-from faremill.storage import file_count, path_exists, scratch_path, stored
+from faremill.storage import children, file_count, path_exists, scratch_path, stored
 
 
 @pytest.fixture
@@ -23,7 +23,54 @@ def warehouse(spark):
 def is_external_at(spark, warehouse, table):
     place = tables.location_of(spark, warehouse.name(table))
     kind = spark.catalog.getTable(warehouse.name(table)).tableType
-    return kind == "EXTERNAL" and place.endswith(warehouse.location(table).split(":")[-1])
+    return kind == "EXTERNAL" and place.rsplit("/", 1)[0].endswith(warehouse.location(table).split(":")[-1])
+
+
+def versions(spark, warehouse, table):
+    return [path for path, folder in children(spark, warehouse.location(table)) if folder]
+
+
+@pytest.mark.parametrize("job", [tables.overwrite, tables.replace], ids=["overwrite", "replace"])
+def test_a_failing_write_leaves_the_old_rows(spark, warehouse, flights, job):
+    tables.overwrite(bronze_flights(flights({"Airline": "old"})), warehouse, "bronze.flights")
+    before = versions(spark, warehouse, "bronze.flights")
+    many = flights(*[{"Airline": f"n{i}"} for i in range(200)]).repartition(8, "Airline")
+    broken = bronze_flights(many).withColumn(
+        "Airline", F.when(F.col("Airline") == "n77", F.raise_error(F.lit("lost"))).otherwise(F.col("Airline"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        job(broken, warehouse, "bronze.flights")
+    assert [r.Airline for r in tables.read_table(spark, warehouse, "bronze.flights").collect()] == ["old"]
+    assert versions(spark, warehouse, "bronze.flights") == before
+
+
+def test_readers_that_began_before_a_commit_finish(spark, warehouse, flights):
+    for name in "ab":
+        tables.overwrite(bronze_flights(flights({"Airline": name})), warehouse, "bronze.flights")
+    reading = tables.read_table(spark, warehouse, "bronze.flights").select("Airline")
+    begun = reading.toLocalIterator()
+    tables.overwrite(bronze_flights(flights({"Airline": "c"})), warehouse, "bronze.flights")
+    assert [r.Airline for r in begun] == ["b"]
+    assert [r.Airline for r in tables.read_table(spark, warehouse, "bronze.flights").collect()] == ["c"]
+    assert len(versions(spark, warehouse, "bronze.flights")) == 1 + tables.OLD_VERSIONS
+
+
+def test_a_table_can_be_overwritten_from_itself(spark, warehouse, flights):
+    tables.overwrite(bronze_flights(flights({}, {"Airline": "x"})), warehouse, "bronze.flights")
+    own = tables.read_table(spark, warehouse, "bronze.flights")
+    tables.overwrite(own.where("Airline = 'x'"), warehouse, "bronze.flights")
+    assert [r.Airline for r in tables.read_table(spark, warehouse, "bronze.flights").collect()] == ["x"]
+
+
+def test_versions_of_another_writer_are_left(spark, warehouse, flights):
+    rows = bronze_flights(flights({}))
+    slow = warehouse.new_version("bronze.flights")
+    later = f"{warehouse.location('bronze.flights')}/{tables.VERSION}99999999999999999999-other"
+    for place in (slow, later):
+        rows.write.parquet(place)
+    tables.overwrite(rows, warehouse, "bronze.flights")
+    assert path_exists(spark, later)
+    assert tables.read_table(spark, warehouse, "bronze.flights").count() == 1
 
 
 def test_k9_declares_empty_external_tables(spark, warehouse):
