@@ -233,10 +233,10 @@ def tested_tokens(text: Column) -> Column:
     """Start, end, family and bin of the p-value of every token that looks encoded."""
     names = F.create_map(*(F.lit(x) for pair in ALPHABETS.items() for x in pair))
 
-    def tested(m: Column) -> Column:
-        code = encoding(m["text"])
+    def tested(m: Column, code: Column) -> Column:
         band = sum((F.length(m["text"]) >= edge).cast("int") for edge in BANDS)
-        z = deviate(m["text"], F.element_at(names, code))
+        # Bound once: inside the lambdas over characters it would be found anew for every character.
+        z = let(F.element_at(names, code), lambda alphabet: deviate(m["text"], alphabet))
         return F.struct(
             m["start"].alias("start"),
             m["end"].alias("end"),
@@ -244,7 +244,8 @@ def tested_tokens(text: Column) -> Column:
             let(z, bin_of).alias("bin"),
         )
 
-    return F.transform(F.filter(matches(text, TOKEN_PATTERN), lambda m: encoding(m["text"]).isNotNull()), tested)
+    known = lambda m: let(encoding(m["text"]), lambda code: F.when(code.isNotNull(), tested(m, code)))
+    return F.filter(F.transform(matches(text, TOKEN_PATTERN), known), lambda t: t.isNotNull())
 
 
 def limits(tokens: DataFrame, alpha: float = FALSE_DISCOVERY) -> DataFrame:
