@@ -20,15 +20,15 @@ from pyspark.sql import functions as F
 from faremill.llm.store import with_text_batches
 
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122, names that are URLs
-_HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?</head\s*>",
-    re.S | re.I,
-)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_OPENING = re.compile(r"<!--|<(script|style|template|noscript|head)\b[^>]*>", re.I)
+_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "template", "noscript", "head", "title")}
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
 _INLINE = re.compile(r"</?(?:a|abbr|b|bdi|bdo|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_ANCHOR = re.compile(r"<a\b([^>]*)>", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HTML = re.compile(r"<html\b([^>]*)>", re.I)
+_LANGUAGE = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 #: Digits of Spark's base 32 and of RFC 4648.
 _COUNTING, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -54,22 +54,65 @@ def record_digest(content: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(content).digest()).decode()
 
 
+def _split_tail(page: str) -> tuple[str, str]:
+    """What stands up to the last ``>``, where every tag that begins also ends, and the rest, which holds no tag.
+
+    So no pattern looks for the end of a tag in vain, and each runs in time linear in the page.
+    """
+    end = page.rfind(">") + 1
+    return page[:end], page[end:]
+
+
+def _visible(page: str) -> str:
+    """The page without comments, scripts and the like, a line break for each; one that never ends hides the rest."""
+    tagged = _split_tail(page)[0]
+    kept, at, scan, endless_head = [], 0, 0, False
+    while found := _OPENING.search(tagged, scan):
+        tag, scan = (found[1] or "").lower(), found.end()
+        if tag == "head" and endless_head:
+            continue
+        if tag:
+            ended = _ENDS[tag].search(tagged, scan)
+            end = ended.end() if ended else -1
+        else:
+            close = page.find("-->", scan)
+            end = close + 3 if close >= 0 else -1
+        if end < 0 and tag == "head":  # then no later one ends either
+            endless_head = True
+            continue
+        kept.append(page[at : found.start()])
+        if end < 0:
+            return "\n".join([*kept, ""])
+        at = scan = end
+    begin = page.find("<!--", max(at, len(tagged)))
+    return "\n".join([*kept, page[at:begin] + "\n" if begin >= 0 else page[at:]])
+
+
 def plain_text(page: str) -> str:
     """All visible text, one line per block."""
-    body = _INLINE.sub("", _HIDDEN.sub("\n", page))
-    lines = (" ".join(html.unescape(line).split()) for line in _TAG.sub("\n", body.replace("\n", " ")).split("\n"))
+    body, tail = _split_tail(_visible(page))
+    body = _INLINE.sub("", body)
+    lines = (" ".join(html.unescape(line).split()) for line in (_TAG.sub("\n", body.replace("\n", " ")) + tail.replace("\n", " ")).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _title(tagged: str) -> str | None:
+    begin = _TITLE.search(tagged)
+    end = _ENDS["title"].search(tagged, begin.end()) if begin else None
+    return " ".join(html.unescape(tagged[begin.end() : end.start()]).split()) if end else None
+
+
 def _metadata(page: str, text: str, http_headers: str) -> str:
     """The fields of a metadata block."""
-    title = _TITLE.search(page)
-    language = _LANGUAGE.search(page)
-    links = [html.unescape(m[1] or m[2] or m[3] or "").strip() for m in _LINK.finditer(page)]
+    tagged = _split_tail(page)[0]
+    root = _HTML.search(tagged)
+    language = _LANGUAGE.search(root[1]) if root else None
+    targets = (_HREF.search(m[1]) for m in _ANCHOR.finditer(tagged))
+    links = [html.unescape(m[1] or m[2] or m[3] or "").strip() for m in targets if m]
     status = re.match(r"HTTP/\S+ (\d{3})", http_headers)
     fields = [
         ("http-status", status[1] if status else None),
-        ("title", " ".join(html.unescape(title[1]).split()) if title else None),
+        ("title", _title(tagged)),
         ("languages-html", language[1].lower() if language else None),
         ("charCount", str(len(text))),
         *(("outlink", link) for link in links),
@@ -78,11 +121,14 @@ def _metadata(page: str, text: str, http_headers: str) -> str:
 
 
 def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Response records of crawled pages (page_id, url, html); identifiers come from the page's number and URL."""
-    name = F.concat_ws(" ", F.col("page_id").cast("string"), F.col("url"))
+    """Response records of crawled pages (page_id, url, html).
+
+    Identifiers come from the page's number, URL and content, so only rows that agree in all three share one.
+    """
+    payload = F.coalesce(F.col("html"), F.lit(""))
+    name = F.concat_ws(" ", F.col("page_id").cast("string"), F.col("url"), sha1_base32(payload))
     digits = F.sha1(name)
     parts = [F.substring(digits, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    payload = F.coalesce(F.col("html"), F.lit(""))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.octet_length(payload).cast("string"),
