@@ -27,19 +27,31 @@ ITEM = "item_row long, item_id long, n_shingles int, size_class int, hash long,
 EVIDENCE = "doc_row long, doc_id long, text_key long, hash long, shingle string"
 
 
-def _windows(block: Block, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first word, one past the last word, and text of every shingle; a shorter text is one shingle."""
+Windows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def _joined(parts: list[Windows]) -> Windows:
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _all_windows(block: Block, width: int) -> Windows:
+    """Hash, first word, one past the last word, and text of all windows of so many words."""
     hashes = block.shingles(width)
-    counts = np.diff(block.bounds)
-    owner = np.repeat(np.arange(block.texts), counts)
+    owner = np.repeat(np.arange(block.texts), np.diff(block.bounds))
     first = np.flatnonzero(owner[: len(hashes)] == owner[width - 1 :]) if len(hashes) else np.zeros(0, np.int64)
-    parts = [(hashes[first], first, first + width, owner[first])]
+    return hashes[first], first, first + width, owner[first]
+
+
+def _item_windows(block: Block, width: int) -> Windows:
+    """The shingles of items: all windows of ``width`` words; a shorter text is one as a whole."""
+    counts = np.diff(block.bounds)
+    parts = [_all_windows(block, width)]
     for size in range(1, width):
         texts = np.flatnonzero(counts == size)
         if len(texts):
             begin = block.bounds[texts]
             parts.append((block.shingles(size)[begin], begin, begin + size, texts))
-    return tuple(np.concatenate(column) for column in zip(*parts))
+    return _joined(parts)
 
 
 def _text(block: Block, begin: int, end: int) -> str:
@@ -55,7 +67,7 @@ def item_shingles(items: DataFrame, width: int, percent: int) -> DataFrame:
         for batch in batches:
             rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for block in hasher.blocks(batch.column(2).cast(pa.binary()).to_pylist()):
-                hashes, begin, end, owner = _windows(block, width)
+                hashes, begin, end, owner = _item_windows(block, width)
                 out = []
                 for text in range(block.texts):
                     own = np.flatnonzero(owner == text)
@@ -120,6 +132,10 @@ def evidence(docs: DataFrame, shingles: DataFrame, width: int, percent: int) ->
     partitions = [
         (row.size_class, (row.least * percent + 99) // 100, np.uint64(row.greatest + (1 << 63))) for row in limits
     ]
+    words = F.size(F.split("shingle", " "))
+    # Of an item of fewer words than a shingle the whole is looked for, in windows of as many words: width - 1 sizes at most.
+    short = [row.words for row in shingles.select(words.alias("words")).where(f"words < {width}").distinct().collect()]
+    widths = [width, *sorted(short)]
     shared = docs.sparkSession.sparkContext.broadcast({k: v.tobytes() for k, v in filters.items()})
 
     def work(batches):
@@ -128,14 +144,14 @@ def evidence(docs: DataFrame, shingles: DataFrame, width: int, percent: int) ->
         for batch in batches if bits else ():
             rows = [batch.column(i).to_pylist() for i in range(3)]
             for block in hasher.blocks(batch.column(3).cast(pa.binary()).to_pylist()):
-                yield from _matches(block, rows, bits, partitions, width)
+                yield from _matches(block, rows, bits, partitions, widths)
 
     numbered = docs.select(F.monotonically_increasing_id(), "doc_id", F.xxhash64("text"), F.lower("text"))
     return with_text_batches(numbered).mapInArrow(work, EVIDENCE)
 
 
-def _matches(block: Block, rows: list[list], bits: dict, partitions: list, width: int) -> Iterator[pa.RecordBatch]:
-    hashes, begin, end, owner = _windows(block, width)
+def _matches(block: Block, rows: list[list], bits: dict, partitions: list, widths: list[int]) -> Iterator[pa.RecordBatch]:
+    hashes, begin, end, owner = _joined([_all_windows(block, width) for width in widths])
     sizes = np.bincount(owner, minlength=block.texts)
     candidate = np.zeros(block.texts, bool)
     for size_class, least, greatest in partitions:
@@ -165,8 +181,8 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, percent:
     """doc_row, doc_id, text_key, item_id, n_shingles, n_common and containment of every item found in a row of ``docs``.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns are ignored. Words are runs of letters, digits
-    and non-ASCII characters of the lower-cased text. A text of fewer than ``width`` words is one shingle as a whole,
-    so a short item is found only in an equal short text. Null and wordless texts hold nothing and are found
+    and non-ASCII characters of the lower-cased text. An item of fewer than ``width`` words is one shingle as a whole, and is
+    found wherever those words follow one another. Null and wordless texts hold nothing and are found
     nowhere. Repeated rows of either table each give their own pairs; null ids are carried along. doc_row tells rows of
     one doc_id apart within one result.
     """

@@ -14,11 +14,14 @@ WITH lists AS (
   SELECT 'item', row_number() OVER (), item_id,
          regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
 ),
+short AS (SELECT DISTINCT len(ws) AS k FROM lists WHERE side = 'item' AND len(ws) BETWEEN 1 AND 4),
 shingles AS (
   SELECT DISTINCT side, r, id, unnest(
-    CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s
+    CASE WHEN len(ws) < 5 THEN [] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s
   FROM lists
+  UNION
+  SELECT side, r, id, unnest(list_transform(range(1, CAST(len(ws) - k + 2 AS BIGINT)), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS s
+  FROM lists JOIN short ON len(ws) = k OR (side = 'doc' AND len(ws) > k)
 ),
 sizes AS (SELECT r, count(*) AS n FROM shingles WHERE side = 'item' GROUP BY r),
 common AS (
