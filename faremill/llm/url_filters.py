@@ -1,15 +1,19 @@
 """URL filter: fixed host and path rules, and a tree of path templates per host that is judged by labelled URLs.
 
 Segments that are numbers, dates, hashes and the like become typed wildcards row by row; what is left is folded into one
-row per host and path before any tree work. Then, level by level, rare children of a node with many of them become
-one wildcard, but for those whose labels differ significantly from it, which become one per tenth of the bad share; siblings that lead to the same kind of path are ordered by their share of bad labels, and neighbours whose
-shares do not differ significantly are merged. Siblings without labels are merged with each other. Every template's
-share of bad labels is smoothed towards that of its host, and that towards the corpus. Everything runs on DataFrame
-functions.
+row per host and path before any tree work. Then the paths of every node go on to where they part, and the siblings there
+that lead to the same kind of path are compared: those whose labels do not differ significantly from all of them
+together, or that have none, become one wildcard. The others are put into tenths of their share of bad labels, and
+neighbouring tenths that do not differ significantly are one branch. The same test goes for all children of all nodes. Every
+template's share of bad labels is smoothed towards that of its host, and that towards the corpus. Everything runs on
+DataFrame functions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,13 +22,9 @@ from faremill.llm.store import saved
 
 #: Host and path prefix, and the verdict of a URL on that host or a subdomain whose path starts so. The longest fits.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
-#: Segments of a path that the tree tells apart; what follows them is one segment "**".
-DEPTH = 8
-#: A node with more children than this has the rare ones generalised: those below this share of its rows.
-MANY_CHILDREN, RARE_SHARE = 20, 0.05
-#: Chance that any rare child of a node is told from the others though all have one share, and bins of the told ones.
+#: Chance that any child of a node is told from the others though all have one share, and bins of the told ones.
 FALSE_ODD, SHARE_BINS = 0.05, 10
-#: Standard errors up to which the bad shares of two branches count as the same.
+#: Standard errors up to which the bad shares of neighbouring bins count as the same.
 SIMILAR = 1.96
 #: Labelled rows that the prior of a template weighs, and the purity below which a template is rejected.
 PRIOR, PURITY = 8.0, 0.5
@@ -61,7 +61,7 @@ def rule_of(host: Column, path: Column, rules: dict[str, str] = RULES) -> Column
     return found
 
 
-def segments(path: Column, depth: int = DEPTH) -> Column:
+def segments(path: Column) -> Column:
     """The path's segments, variable ones as typed wildcards; empty segments are none."""
 
     def shape(segment: Column) -> Column:
@@ -73,64 +73,81 @@ def segments(path: Column, depth: int = DEPTH) -> Column:
             typed = F.when(fits, F.lit(name)) if typed is None else typed.when(fits, F.lit(name))
         return F.concat(typed.otherwise(core), extension)
 
-    parts = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), shape)
-    return F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), shape)
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """host, shape and its final template, from (host, shape, n, labelled, bad) with one row per host and shape."""
-    tree = paths.withColumn("segs", F.when(F.col("shape") == "", F.array().cast("array<string>")).otherwise(F.split("shape", "/")))
-    tree = saved(tree.withColumn("template", F.lit("")), "tree")
-    levels = tree.agg(F.max(F.size("segs"))).first()[0] or 0  # at most DEPTH + 1
-    for level in range(levels):
-        tree = saved(_level(tree, level), "tree")
-    return tree.select("host", "shape", "template")
-
+    """host, shape and its final template, from (host, shape, n, labelled, bad) with one row per host and shape.
 
-def _level(tree: DataFrame, level: int) -> DataFrame:
-    """``tree`` with the segment of one level generalised and put to the end of its template."""
+    The rounds follow the places where paths part, not their length: what all paths of a node have in common is passed
+    in one step, and a path that is alone is done.
+    """
+    segs = F.when(F.col("shape") == "", F.array().cast("array<string>")).otherwise(F.split("shape", "/"))
+    tree = saved(paths.select("*", F.lit("").alias("template"), segs.alias("rest")), "tree")
+    done = []
+    while True:
+        done.append(tree.where(F.size("rest") == 0).select("host", "shape", "template"))
+        tree = tree.where(F.size("rest") > 0)
+        if tree.isEmpty():
+            return reduce(DataFrame.union, done)
+        tree = saved(_branched(_to_the_fork(tree)), "tree")
+
+
+def _to_the_fork(tree: DataFrame) -> DataFrame:
+    """``tree`` with the segments that all paths of a node begin with put to its template."""
+    # The least and the greatest of some lists have in common what all of them have.
+    ends = tree.groupBy("host", "template").agg(F.min("rest").alias("least"), F.max("rest").alias("most"))
+    alike = F.transform(F.arrays_zip("least", "most"), lambda z: z["least"].eqNullSafe(z["most"]))
+    other = F.array_position(alike, False)
+    common = F.when(other > 0, other - 1).otherwise(F.size("least")).cast("int")
+    ends = ends.select("host", "template", F.slice("least", 1, common).alias("common"))
+    joined = tree.join(ends, ["host", "template"])
+    passed = F.concat("template", F.array_join(F.transform("common", lambda s: F.concat(F.lit("/"), s)), ""))
+    rest = F.slice("rest", F.size("common") + 1, F.greatest(F.size("rest") - F.size("common"), F.lit(0)))
+    return joined.select("host", "shape", "n", "labelled", "bad", passed.alias("template"), rest.alias("rest"))
+
+
+def _branched(tree: DataFrame) -> DataFrame:
+    """``tree`` with the next segment of every path generalised and put to its template."""
     node = ["host", "template"]
-    rows = tree.withColumn("child", F.get("segs", F.lit(level)))
-    kinds = F.transform(F.slice("segs", level + 2, DEPTH + 1), lambda s: F.when(s.startswith("{"), s).otherwise(F.lit("-")))
-    tail = F.array_join(kinds, "/")
+    rows = tree.withColumn("child", F.get("rest", F.lit(0)))
+    kinds = F.transform(F.slice("rest", 2, F.size("rest")), lambda s: F.when(s.startswith("{"), s).otherwise(F.lit("-")))
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     # What mostly follows a child says what kind of branch it is.
-    tails = rows.where("child IS NOT NULL").groupBy(*node, "child", tail.alias("tail")).agg(*sums)
-    children = saved(tails.groupBy(*node, "child").agg(*sums, F.max(F.struct("n", "tail")).alias("most")), "children")
-    children = children.withColumn("tail", F.col("most.tail")).drop("most")
-    nodes = children.groupBy(*node).agg(F.count("*").alias("children"), F.sum("n").alias("all"))
-    judged = children.join(nodes, node).withColumn(
-        "rare", (F.col("children") > MANY_CHILDREN) & (F.col("n") < RARE_SHARE * F.col("all"))
-    )
-    # A rare child is odd where Chernoff's bound, which holds for few labels too, rules the share of all rare ones out.
-    pooled = judged.where("rare").groupBy(*node).agg(
+    tails = rows.where("child IS NOT NULL").groupBy(*node, "child", F.array_join(kinds, "/").alias("tail")).agg(*sums)
+    children = tails.groupBy(*node, "child").agg(*sums, F.max(F.struct("n", "tail")).alias("most"))
+    children = saved(children.withColumn("tail", F.col("most.tail")).drop("most"), "children")
+    kin = [*node, "tail"]
+    pooled = children.groupBy(*kin).agg(
         ((F.sum("bad") + 0.5) / (F.sum("labelled") + 1)).alias("usual"), F.count_if(F.col("labelled") > 0).alias("tested")
     )
+    # A child is odd where Chernoff's bound, which holds for few labels too, rules the share of all siblings out.
     own = F.col("bad") / F.greatest("labelled", F.lit(1))
     apiece = lambda x, usual: F.when(x > 0, x * F.log(F.greatest(x, F.lit(1e-300)) / usual)).otherwise(0.0)
     excess = F.col("labelled") * (apiece(own, F.col("usual")) + apiece(1 - own, 1 - F.col("usual")))
-    odd = F.coalesce(F.col("rare") & (F.col("labelled") > 0) & (excess > F.log(F.greatest(2 * F.col("tested") / FALSE_ODD, F.lit(1.0)))), F.lit(False))
-    tenth = F.least(F.floor(own * SHARE_BINS), F.lit(SHARE_BINS - 1)).cast("string")
-    wild = F.when(odd, F.concat(F.lit("{*"), tenth, F.lit("}"))).otherwise(F.lit("{*}"))
-    judged = judged.join(pooled, node, "left").withColumn("wild", wild).drop("usual", "tested")
-    # Frequent children are few: at most MANY_CHILDREN of them, or 1 / RARE_SHARE.
-    kin = Window.partitionBy(*node, "tail", F.col("labelled") > 0).orderBy("share", "child")
-    often = judged.where("NOT rare").withColumn("share", (F.col("bad") + 0.5) / (F.col("labelled") + 1))
-    earlier, count = F.lag("share").over(kin), F.lag("labelled").over(kin) + 1
-    whole = (F.col("share") * (F.col("labelled") + 1) + earlier * count) / (F.col("labelled") + 1 + count)
-    error = F.sqrt(whole * (1 - whole) * (1 / (F.col("labelled") + 1) + 1 / count))
-    apart = F.coalesce((F.col("labelled") > 0) & (F.col("share") - earlier > SIMILAR * error), F.lit(False))
-    group = often.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(kin))
-    group = group.withColumn("known", F.col("labelled") > 0)
-    alike = Window.partitionBy(*node, "tail", "known", "branch")
-    branch = F.when(F.col("known"), F.concat(F.lit("{+"), F.col("branch").cast("string"), F.lit("}"))).otherwise(F.lit("{+}"))
-    merged = group.select(*node, "child", F.when(F.count("*").over(alike) > 1, branch).alias("merged"))
-    together = judged.join(merged, [*node, "child"], "left")
-    name = F.when(F.col("rare"), F.col("wild")).otherwise(F.coalesce("merged", "child"))
-    names = together.select(*node, "child", name.alias("name"))
-    joined = rows.join(names, [*node, "child"], "left")
+    odd = (F.col("labelled") > 0) & (excess > F.log(F.greatest(2 * F.col("tested") / FALSE_ODD, F.lit(1.0))))
+    tenth = F.least(F.floor(own * SHARE_BINS), F.lit(SHARE_BINS - 1)).cast("int")
+    judged = children.join(pooled, kin).select(*kin, "child", "labelled", "bad", F.when(odd, tenth).alias("tenth"))
+    groups = judged.groupBy(*kin, "tenth").agg(*sums[1:], F.count("*").alias("children"))
+    # At most SHARE_BINS rows of a kin, and one more for what is usual.
+    line = Window.partitionBy(*kin, F.col("tenth").isNull()).orderBy("tenth")
+    share, size = (F.col("bad") + 0.5) / (F.col("labelled") + 1), F.col("labelled") + 1
+    before, count = F.lag(share).over(line), F.lag(size).over(line)
+    whole = (share * size + before * count) / (size + count)
+    apart = F.coalesce(share - before > SIMILAR * F.sqrt(whole * (1 - whole) * (1 / size + 1 / count)), F.lit(True))
+    groups = groups.withColumn("begins", F.when(apart, F.col("tenth")))
+    groups = groups.withColumn("branch", F.last("begins", ignorenulls=True).over(line))
+    branch = Window.partitionBy(*kin, "branch")
+    groups = groups.select(*kin, "tenth", "branch", F.sum("children").over(branch).alias("children"))
+    groups = groups.select(*(F.col(c).alias(f"of_{c}") for c in (*kin, "tenth")), "branch", "children")
+    same = [judged[c] == groups[f"of_{c}"] for c in kin] + [judged["tenth"].eqNullSafe(groups["of_tenth"])]
+    wild = F.when(F.col("branch").isNull(), F.lit("{*}")).otherwise(F.concat(F.lit("{+"), F.col("branch").cast("string"), F.lit("}")))
+    name = F.when(F.col("children") > 1, wild).otherwise(F.col("child"))
+    names = judged.join(groups, reduce(and_, same)).select(*node, "child", name.alias("name"))
     grown = F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))
-    return joined.select("host", "shape", "n", "labelled", "bad", "segs", grown.alias("template"))
+    rest = F.slice("rest", 2, F.greatest(F.size("rest") - 1, F.lit(0)))
+    joined = rows.join(names, [*node, "child"], "left")
+    return joined.select("host", "shape", "n", "labelled", "bad", grown.alias("template"), rest.alias("rest"))
 
 
 def purities(tree: DataFrame) -> DataFrame:
