@@ -15,7 +15,8 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from faremill.llm.store import with_text_batches
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Distinct chunks that a task keeps between batches.
-KEPT_CHUNKS = 500_000
+#: Bytes that the chunks may take which a worker keeps between batches, and what one takes besides its text and ids.
+KEPT_BYTES, CHUNK_BYTES = 48 << 20, 200
 THREADS = 2
 
 #: Appended to a model file, where protobuf merges it into the normaliser: no added prefix, no squeezing of spaces.
@@ -141,7 +142,8 @@ def build(model: Model, whole_texts: bool):
     if model.charsmap:
         steps.append(normalizers.Precompiled(model.charsmap))
     if model.squeeze:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        # Spaces alone: the library keeps line feeds at the ends.
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if model.escape:
         steps.append(normalizers.Replace(" ", MARK))
     if model.dummy_prefix:
@@ -168,8 +170,14 @@ def chunk_pattern(model: Model) -> re.Pattern | None:
     return re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
+@lru_cache(maxsize=1)
+def worker_codec(data: bytes, threads: int) -> Codec:
+    """The codec of a worker process; tasks that follow one another there share it and the chunks it knows."""
+    return Codec(data, threads)
+
+
 class Codec:
-    """Encodes batches of texts in one task; remembers the chunks it has met."""
+    """Encodes batches of texts; remembers chunks it has met, up to KEPT_BYTES."""
 
     def __init__(self, data: bytes, threads: int = THREADS):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
@@ -181,14 +189,29 @@ class Codec:
         self.pattern, self.escape, self.threads = chunk_pattern(model), model.escape, threads
         self.plain = not model.charsmap and not model.squeeze
         self.prefix = (MARK if model.escape else " ") if model.dummy_prefix else ""
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data + AS_CHUNKS)
         self.bytes = piece_bytes(model)
-        self._forget()
-
-    def _forget(self) -> None:
+        self.byte_lengths = np.array([len(piece) for piece in self.bytes])
         self.places: dict[str, int] = {}
         self.values, self.sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         self.same, self.back = [np.zeros(0, bool)], [np.zeros(0, bool)]
+        self.uses = np.zeros(0, np.int64)
+        self.kept = 0
+
+    def _forget_rare(self) -> None:
+        """Keeps the chunks of the most uses, up to half of KEPT_BYTES; their uses count half from now on."""
+        sizes = self.sizes[0]
+        lengths = np.fromiter(map(len, self.places), np.int64, len(self.places))
+        cost = CHUNK_BYTES + lengths + 4 * sizes
+        order = np.argsort(-self.uses, kind="stable")
+        order = np.sort(order[np.cumsum(cost[order]) <= KEPT_BYTES // 2])
+        stays = np.zeros(len(lengths), bool)
+        stays[order] = True
+        self.places = {chunk: i for i, chunk in enumerate(compress(self.places, stays.tolist()))}
+        self.values = [self.values[0][np.repeat(stays, sizes)]]
+        self.sizes, self.same, self.back = ([parts[0][stays]] for parts in (self.sizes, self.same, self.back))
+        self.uses, self.kept = self.uses[stays] // 2, int(cost[stays].sum())
 
     def normal(self, text: str) -> str:
         """The text as the model sees it."""
@@ -199,19 +222,33 @@ class Codec:
     def _learn(self, fresh: list[str]) -> None:
         found = [e.ids for e in self.backend.encode_batch_fast(fresh, add_special_tokens=False)]
         expected = self.other.encode(fresh, num_threads=self.threads)
-        self.values.append(np.fromiter((i for ids in found for i in ids), np.int32))
-        self.sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        self.same.append(np.fromiter((a == b for a, b in zip(found, expected)), bool, len(found)))
-        text_of = self.bytes.__getitem__
-        plain = (chunk.replace(MARK, " ") if self.escape else chunk for chunk in fresh)
-        back = (b"".join(map(text_of, ids)) == chunk.encode("utf-8") for ids, chunk in zip(found, plain))
-        self.back.append(np.fromiter(back, bool, len(found)))
+        values = np.array(list(chain.from_iterable(found)), np.int32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.values.append(values)
+        self.sizes.append(sizes)
+        self.same.append(np.fromiter(map(list.__eq__, found, expected), bool, len(found)))
+        plain = [(chunk.replace(MARK, " ") if self.escape else chunk).encode("utf-8") for chunk in fresh]
+        lengths = np.concatenate([[0], np.cumsum(self.byte_lengths[values])])
+        ends = np.cumsum(sizes)
+        spans = lengths[ends] - lengths[ends - sizes]
+        cut_alike = (spans == np.fromiter(map(len, plain), np.int64, len(plain))).all()
+        if cut_alike and b"".join(plain) == b"".join(map(self.bytes.__getitem__, values.tolist())):
+            self.back.append(np.ones(len(fresh), bool))
+        else:
+            text_of = self.bytes.__getitem__
+            self.back.append(np.array([b"".join(map(text_of, ids)) == own for ids, own in zip(found, plain)]))
+        self.kept += CHUNK_BYTES * len(fresh) + sum(map(len, fresh)) + 4 * int(self.sizes[-1].sum())
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool, bool]]:
-        """Ids, parity with the sentencepiece library and success of decoding, of every text."""
-        if len(self.places) > KEPT_CHUNKS:
-            self._forget()
+        """Ids, parity with the sentencepiece library and success of decoding, of every text.
+
+        Parity is of whole texts: the rebuilt normaliser gives what the unmodified library's does, and every chunk of
+        it has the library's ids; chunks are cut where no piece can span.
+        """
+        if self.kept > KEPT_BYTES:
+            self._forget_rare()
         normal = [self.normal(text) for text in texts]
+        agreed = map(str.__eq__, normal, self.library.normalize(texts) if texts else [])
         cut = self.pattern.findall if self.pattern else lambda text: [text] if text else []
         chunks = [cut(text) for text in normal]
         fresh = [chunk for chunk in dict.fromkeys(chain.from_iterable(chunks)) if chunk not in self.places]
@@ -221,15 +258,17 @@ class Codec:
         self.values, self.sizes = [np.concatenate(self.values)], [np.concatenate(self.sizes)]
         self.same, self.back = [np.concatenate(self.same)], [np.concatenate(self.back)]
         values, sizes, same, back = self.values[0], self.sizes[0], self.same[0], self.back[0]
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes) - len(self.uses), np.int64)])
         begin = np.cumsum(sizes) - sizes
         place = self.places.__getitem__
-        for found in chunks:
+        for found, alike in zip(chunks, list(agreed)):
             row = np.fromiter(map(place, found), np.int64, len(found))
+            np.add.at(self.uses, row, 1)
             size = sizes[row]
             ends = np.cumsum(size)
             steps = np.arange(ends[-1] if len(ends) else 0)
             ids = values[steps + np.repeat(begin[row] - ends + size, size)]
-            yield ids, bool(same[row].all()), bool(back[row].all())
+            yield ids, alike and bool(same[row].all()), bool(back[row].all())
 
 
 def piece_bytes(model: Model) -> list[bytes]:
@@ -241,18 +280,18 @@ def piece_bytes(model: Model) -> list[bytes]:
     ]
 
 
-def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, texts_at_once: int = 1 << 20) -> DataFrame:
+def encoded(docs: DataFrame, model: bytes, threads: int = THREADS, texts_at_once: int = 1 << 19) -> DataFrame:
     """doc_id, ids, n_tokens, parity and round_trip of every row of ``docs`` (doc_id, text).
 
-    ``model`` is the content of a SentencePiece model file; it is broadcast, so executors need no file. parity: the ids equal
-    those of the sentencepiece library, chunk by chunk. round_trip: the decoded ids are the normalised text. A null
+    ``model`` is the content of a SentencePiece model file; it is broadcast, so executors need no file. parity: the normalised text and the
+    ids of its chunks equal those of the sentencepiece library. round_trip: the decoded ids are the normalised text. A null
     or empty text has no ids, and both hold. Whole texts are encoded, whatever their length; ``texts_at_once`` is
     the number of characters that a task works on at a time. Repeated rows are encoded each; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
-        codec = Codec(shared.value, threads)
+        codec = worker_codec(shared.value, threads)
         gc.disable()  # millions of small lists, none in a cycle, would be searched again and again
         try:
             for batch in batches:
