@@ -341,7 +341,11 @@ def _contained(docs, items, width=5, percent=80):
         whole = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
         return whole if len(words) >= width else {tuple(words)} if words else set()
 
-    sets = [(i, shingles(t)) for i, t in docs]
+    def windows(text):
+        words = re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").lower())
+        return {tuple(words[i : i + n]) for n in range(1, width + 1) for i in range(len(words) - n + 1)}
+
+    sets = [(i, windows(t)) for i, t in docs]
     return Counter(
         (i, item, len(wanted), len(own & wanted))
         for item, wanted in ((k, shingles(t)) for k, t in items)
@@ -362,6 +366,10 @@ def test_contained_items_equal_brute_force(spark, awkward):
         (7, " ".join(_NEAR[10:30])),
         (7, " ".join(_NEAR[10:30])),
         (None, "a b c d e f g"),
+        (8, "two THREE"),
+        (9, " ".join(long_text[5:9])),
+        (10, " ".join(long_text[7999:])),
+        (11, "no such words"),
     ]
     table = spark.createDataFrame([(*row, "z") for row in items], "item_id long, text string, lang string")
     found = decontamination.contained_items(awkward, table).collect()
@@ -455,11 +463,25 @@ def test_unigram_models_equal_the_library(squeeze):
     data = b"".join(_message((1, _message((1, p.encode()), (2, float(s)), (3, k)))) for p, s, k in pieces)
     data += _message((2, _message((3, 1), (35, 1))), (3, _message((1, b"identity"), (3, 1), (4, squeeze), (5, 1))))
     library = sentencepiece.SentencePieceProcessor(model_proto=data)
-    texts = ["", "ab aab", "abba bbé b", "a  b  ", " x\nab", "日本 ab"]
+    texts = ["", "ab aab", "abba bbé b", "a  b  ", " x\nab", "日本 ab", "\nab a\n", "  \n ", " a\n b \n\n", "\t a \t"]
     codec = sentencepieces.Codec(data)
     found = list(codec.encode(texts))
     assert [list(map(int, ids)) for ids, _, _ in found] == library.encode(texts)
     assert all(same and back for _, same, back in found)
+    # A normaliser that drops what the library keeps is told, whatever its chunks give.
+    codec.normal = lambda text: sentencepieces.Codec.normal(codec, text.strip())
+    assert [same for _, same, _ in codec.encode(["ab a", "\nab a\n"])] == [True, False]
+
+
+def test_kept_chunks_are_bounded_by_bytes(monkeypatch):
+    data = open(MODEL_FILE, "rb").read()
+    texts = [" ".join(f"word{i * 400 + j}" for j in range(400)) for i in range(12)]
+    whole = [list(ids) for ids, _, _ in sentencepieces.Codec(data).encode(texts)]
+    monkeypatch.setattr(sentencepieces, "KEPT_BYTES", 50_000)
+    codec = sentencepieces.Codec(data)
+    for text, ids in zip(texts, whole):
+        assert [list(x) for x, _, _ in codec.encode([text])] == [ids]
+        assert codec.kept < 50_000 + 400 * 300 and len(codec.places) <= 800
 
 
 def test_models_beyond_the_backend_are_refused():

@@ -5,8 +5,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import html
+import math
+import random
 import re
+import time
 from collections import Counter
+from html.parser import HTMLParser
 from pathlib import Path
 
 import duckdb
@@ -155,6 +159,105 @@ def test_rare_sections_with_chance_labels_stay_together(spark):
     assert len({r.template for r in found}) == 1
 
 
+def test_paths_that_part_deep_down_are_told_apart(spark):
+    start = "/".join(f"s{i}" for i in range(8))
+    rows = [(i, f"http://h.net.test/{start}/{'good' if i % 2 else 'evil'}/x/{i}") for i in range(400)]
+    rows += [(1000 + i, "http://other.test/" + "a/" * 300 + str(i)) for i in range(3)]
+    labels = spark.createDataFrame([(i, i % 2 == 1 or i % 10 == 0) for i in range(400)], "url_key long, good boolean")
+    found = url_filters.judged(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(0, 400, 2))
+    assert {r.template for r in found if r.page_id >= 1000} == {"/a" * 300 + "/{num}"}
+
+
+@pytest.mark.parametrize("count", [3, 20, 21, 60])
+def test_one_rule_for_few_children_and_for_many(spark, count):
+    """A bad section is blocked, and a small one without labels follows its siblings, however many these are."""
+    names = [a + b for a in "abcdefgh" for b in "qrstuvwx"][:count]
+    rows = [(i, f"http://h.net.test/{names[i % count]}/{i}") for i in range(40 * count)]
+    marks = [(i, i % count != 1) for i in range(40 * count) if i % count != 2]
+    labels = spark.createDataFrame(marks, "url_key long, good boolean")
+    found = url_filters.judged(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
+    assert {names.index(r.path.split("/")[1]) for r in found if r.verdict == "block"} == {1}
+
+
+def _plain_templates(rows):
+    """The tree by recursion over dictionaries: {(host, shape): template} from (host, shape, n, labelled, bad)."""
+    out = {}
+
+    def grow(host, template, own):
+        for shape, _, _, _, rest in [r for r in own if not r[4]]:
+            out[host, shape] = template
+        own = [r for r in own if r[4]]
+        if not own:
+            return
+        k = 0
+        while all(len(r[4]) > k for r in own) and len({r[4][k] for r in own}) == 1:
+            k += 1
+        template += "".join(f"/{x}" for x in own[0][4][:k])
+        children = {}
+        for r in own:
+            rest = r[4][k:]
+            if not rest:
+                out[host, r[0]] = template
+            else:
+                children.setdefault(rest[0], []).append((*r[:4], rest[1:]))
+        kin = {}
+        for child, below in children.items():
+            tails = Counter()
+            for r in below:
+                tails["/".join(x if x.startswith("{") else "-" for x in r[4])] += r[1]
+            tail = max((n, t) for t, n in tails.items())[1]
+            kin.setdefault(tail, []).append((child, sum(r[2] for r in below), sum(r[3] for r in below)))
+        names = {}
+        for siblings in kin.values():
+            usual = (sum(b for _, _, b in siblings) + 0.5) / (sum(m for _, m, _ in siblings) + 1)
+            limit = math.log(max(2 * sum(m > 0 for _, m, _ in siblings) / url_filters.FALSE_ODD, 1))
+            bins = {}
+            for child, m, b in siblings:
+                p = b / max(m, 1)
+                far = m * sum(x * math.log(x / u) for x, u in ((p, usual), (1 - p, 1 - usual)) if x > 0)
+                bins.setdefault(min(int(p * 10), 9) if m and far > limit else None, []).append((child, m, b))
+            branches, last = {None: bins.pop(None, [])}, None
+            for tenth in sorted(bins):
+                m, b = sum(x[1] for x in bins[tenth]) + 1, sum(x[2] for x in bins[tenth]) + 0.5
+                if last:
+                    whole = (b + last[1]) / (m + last[0])
+                    error = math.sqrt(whole * (1 - whole) * (1 / m + 1 / last[0]))
+                if not last or b / m - last[1] / last[0] > url_filters.SIMILAR * error:
+                    begun = tenth
+                branches.setdefault(begun, []).extend(bins[tenth])
+                last = (m, b)
+            for begun, members in branches.items():
+                for child, _, _ in members:
+                    names[child] = child if len(members) == 1 else "{*}" if begun is None else f"{{+{begun}}}"
+        nodes = {}
+        for child, below in children.items():
+            nodes.setdefault(names[child], []).extend(below)
+        for name, below in nodes.items():
+            grow(host, f"{template}/{name}", below)
+
+    for host in {r[0] for r in rows}:
+        grow(host, "", [(s, n, m, b, s.split("/") if s else []) for h, s, n, m, b in rows if h == host])
+    return out
+
+
+def test_templates_equal_a_plain_tree(spark):
+    dice = random.Random(11)
+    rows = {}
+    for _ in range(700):
+        host = dice.choice(["a.b", "c", ""])
+        parts = [dice.choice(["{num}", "{id}", *"pqrstuvw"]) for _ in range(dice.choice([0, 1, 2, 2, 3, 3, 6]))]
+        labelled = dice.choice([0, 0, 3, 40])
+        share = {"p": 1.0, "q": 0.9, "r": 0.5, "s": 0.45}.get(parts[0] if parts else "", 0.02)
+        bad = sum(dice.random() < share for _ in range(labelled))
+        rows[host, "/".join(parts)] = (labelled + dice.randrange(1, 5), labelled, bad)
+    rows = [(*key, *value) for key, value in rows.items()]
+    table = spark.createDataFrame(rows, "host string, shape string, n long, labelled long, bad long")
+    found = {(r.host, r.shape): r.template for r in url_filters.templates(table).collect()}
+    expected = _plain_templates(rows)
+    assert found == expected and len({t for t in expected.values() if "{+" in t}) > 3
+
+
 def test_derived_records(spark, pages):
     responses = warc.responses(pages)
     rows = warc.derivatives(responses).collect()
@@ -287,3 +390,109 @@ def test_pipeline_equals_brute_force(spark):
 
     expected = sorted((r.doc_id, r.ids) for r in stages["token_ids"](spark, frame(masked), str(DATA)).collect())
     assert sorted((r.doc_id, r.ids) for r in corpus_pipeline.run(spark, str(DATA)).collect()) == expected
+
+
+@pytest.mark.parametrize(
+    "name",
+    "comment-body comment-content post-comments article-comments main-nav main-menu page-header page-footer content-sidebar "
+    "story-ad post-share entry-related cookie-text".split(),
+)
+def test_names_against_an_element_outweigh_names_for_it(name):
+    leak = f'<div class="{name}"><p>Leak, leak, leak, and a long, long sentence here, truly.</p></div><p id="{name}">Leak, two.</p>'
+    inside = f"<article><h1>Title</h1><p>One, two, three, four and five words.</p>{leak}<p>The end.</p></article>"
+    beside = f"<div><p>One, two, three, four and five words.</p><p>The end.</p></div>{leak}"
+    assert html_text.main_text(f"<body>{inside}</body>") == "Title One, two, three, four and five words. The end."
+    assert html_text.main_text(f"<body>{beside}</body>") == "One, two, three, four and five words. The end."
+
+
+def test_a_layout_named_after_its_sidebar_holds_the_text():
+    page = (
+        '<body class="no-footer"><div id="wrap" class="has-sidebar content"><div><p>One, two, three, four and five words.</p>'
+        '<p>More, of, the same.</p></div><div class="sidebar"><p>Side, text, with, many, commas, and a long sentence.</p></div></div></body>'
+    )
+    assert html_text.main_text(page) == "One, two, three, four and five words. More, of, the same."
+
+
+def test_short_sections_beside_the_best_one_stay():
+    page = (
+        "<div><section><h2>A</h2><p>One, two, three, four and five words.</p><p>More, of, the, same.</p></section>"
+        "<section><h2>B</h2><p>Short.</p></section><section><a href=x>Other, pages, of, this, site</a></section></div>"
+    )
+    assert html_text.main_text(page) == "A One, two, three, four and five words. More, of, the, same. B Short."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "<p>text, text, and more text to be found.</p>" * 3 + "</div>" * 100_000,
+        "<div>" * 100_000 + "</span>" * 100_000,
+        "<b><p>" * 100_000,
+        "<article>" + "<header>" * 100_000,
+        "<span>" * 50_000 + "<td>" * 50_000,
+        "<a " * 350_000,
+        "<!" * 300_000,
+        "<title>" * 100_000,
+        "<p>word, word, and a lot of other words. </p>" * 50_000,
+    ],
+)
+def test_odd_pages_take_linear_time(page):
+    begin = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begin < 5
+
+
+@pytest.mark.parametrize(
+    "page", ["<a " * 350_000, "<a " * 300_000 + ">", "<title>" * 150_000, "<head>" * 160_000, "<script " * 120_000, "<!-- " * 200_000]
+)
+def test_odd_markup_takes_linear_time(page):
+    begin = time.process_time()
+    warc.plain_text(page)
+    warc._metadata(page, "", "")
+    assert time.process_time() - begin < 1
+
+
+def _plain_lines(page):
+    """The visible text of well-formed markup by a parser of the standard library."""
+    hidden = {"script", "style", "template", "noscript", "head"}
+    inline = set("a abbr b bdi bdo cite code em font i kbd mark q s samp small span strong sub sup u var".split())
+
+    class Parser(HTMLParser):
+        lines, depth = [""], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag in hidden
+            if tag not in inline:
+                self.lines.append("")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag in hidden
+            if tag not in inline:
+                self.lines.append("")
+
+        def handle_data(self, data):
+            if not self.depth:
+                self.lines[-1] += data.replace("\n", " ")
+
+    parser = Parser(convert_charrefs=True)
+    parser.lines = [""]
+    parser.feed(page)
+    parser.close()
+    return [" ".join(line.split()) for line in parser.lines if line.strip()]
+
+
+def test_plain_text_equals_a_parser(spark):
+    supplied = spark.read.parquet(str(DATA / "pages.parquet")).collect()
+    for row in supplied:
+        assert warc.plain_text(row.html).split("\n") == _plain_lines(row.html)
+
+
+def test_hidden_parts_of_broken_markup():
+    assert warc.plain_text("a<!-- x <b>y</b> -->b<script>c</script>d<head>e") == "a b d\ne"
+    assert warc.plain_text("a<head>t</head>b<script>never ends <b>c</b>") == "a b"
+    assert warc.plain_text("a > b <!-- open") == "a > b" and warc.plain_text("<p>a<b") == "a<b"
+
+
+def test_pages_of_one_name_and_other_content_have_records_of_their_own(spark):
+    rows = spark.createDataFrame([(1, "http://a/", "<p>x"), (1, "http://a/", "<p>y"), (1, "http://a/", "<p>y")], "page_id long, url string, html string")
+    found = warc.derivatives(warc.responses(rows)).collect()
+    assert len(found) == 6 and len({r.record_id for r in found}) == 4
