@@ -15,7 +15,7 @@ import numpy as np
 BLANKS = bytes([*range(0x09, 0x0E), 0x20])
 #: Every ASCII character that is neither a letter nor a digit.
 NON_WORD = bytes(c for c in range(128) if not chr(c).isalnum())
-#: Bytes of text that are hashed at once; a longer text is a block of its own.
+#: Bytes of text that are hashed at once; a longer text is a block of its own, hashed in pieces.
 BLOCK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -86,12 +86,50 @@ class WordHasher:
 
     def _block(self, first: int, texts: list[bytes]) -> Block:
         buffer = np.frombuffer(b"\n".join(texts), np.uint8)
-        self._tables(len(buffer) + 1)
-        edges = np.diff(self.is_word[buffer], prepend=np.int8(0), append=np.int8(0))
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        sums = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(self.values[buffer] * self.powers[: len(buffer)], out=sums[1:])
-        hashes = mixed((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+        starts, ends, hashes = self._words(buffer)
         lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         bounds = np.searchsorted(starts, np.concatenate([[0], np.cumsum(lengths)]))
         return Block(first, len(texts), buffer, starts, ends, bounds, hashes)
+
+    def _words(self, buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin, end and hash of every word; the work arrays cover one piece of BLOCK_BYTES, however long the text is."""
+        self._tables(min(len(buffer), BLOCK_BYTES) + 1)
+        place = np.int32 if len(buffer) < 1 << 31 else np.int64
+        starts, ends, sums = [np.zeros(0, place)], [np.zeros(0, place)], [np.zeros(0, np.uint64)]
+        goes_on = False
+        for at in range(0, len(buffer), BLOCK_BYTES):
+            part = buffer[at : at + BLOCK_BYTES]
+            inside = self.is_word[part]
+            edges = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
+            begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+            total = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(self.values[part] * self.powers[: len(part)], out=total[1:])
+            # Of each word, the sum of its bytes' values times powers that count from its own begin.
+            own = (total[end] - total[begin]) * self.inverses[begin]
+            begin, end = (begin + at).astype(place), (end + at).astype(place)
+            if goes_on and inside[0]:  # the last word of the piece before goes on here
+                size = int(ends[-1][-1]) - int(starts[-1][-1])
+                sums[-1][-1:] += own[:1] * np.uint64(pow(int(_BASE), size, 1 << 64))
+                ends[-1][-1] = end[0]
+                begin, end, own = begin[1:], end[1:], own[1:]
+            if len(begin):
+                starts.append(begin)
+                ends.append(end)
+                sums.append(own)
+            goes_on = bool(inside[-1])
+        for i, (begin, end) in enumerate(zip(starts, ends)):  # piece by piece: mixing takes arrays of its own
+            sums[i] = mixed(sums[i] + (end - begin).astype(np.uint64))
+        return tuple(_concatenated(parts) for parts in (starts, ends, sums))
+
+
+def _concatenated(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts as one array; each is let go as soon as it is copied."""
+    if len(parts) <= 2:
+        return parts[-1]
+    out = np.empty(sum(map(len, parts)), parts[0].dtype)
+    at = len(out)
+    while parts:
+        part = parts.pop()
+        out[at - len(part) : at] = part
+        at -= len(part)
+    return out

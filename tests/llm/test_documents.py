@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from faremill.llm import decontamination, feistel, ngram_join, quality_model, quality_rules, queries, secrets, sentencepieces
 from faremill.llm.queries import MODEL_FILE
+from faremill.llm import words
 from faremill.llm.words import BLANKS, WordHasher
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,6 +103,33 @@ def _components(rows, width=4, percent=85):
     return Counter((rows[i][0], len(sets[i]), min(ids[root(i)], default=None)) for i in range(len(rows)))
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    dice = random.Random(12)
+    texts = [
+        " ".join("".join(dice.choice("aé日x") for _ in range(dice.randrange(1, 40))) for _ in range(300)).encode(),
+        ("one giant " + "wörd" * 200 + " end").encode(),
+        b"x" * 1000,
+        b"",
+        b" lead and trail ",
+    ]
+    whole = [list(WordHasher(BLANKS).blocks([t]))[0] for t in texts]
+    for size in (1, 2, 7, 64):
+        monkeypatch.setattr(words, "BLOCK_BYTES", size)
+        for text, block in zip(texts, whole):
+            (own,) = WordHasher(BLANKS).blocks([text])
+            for name in ("starts", "ends", "hashes", "bounds"):
+                assert (getattr(own, name) == getattr(block, name)).all() and len(getattr(own, name)) == len(getattr(block, name))
+
+
+@pytest.mark.parametrize("text", [b"abcde fgh " * 2_000_000, b"x" * 20_000_000], ids=["words", "one word"])
+def test_memory_of_a_long_text(text):
+    tracemalloc.start()
+    (block,) = WordHasher(BLANKS).blocks([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * len(text) + (40 << 20) and len(block.hashes) in (1, 4_000_000)
+
+
 def test_word_hashes_follow_the_words():
     texts = ["a b a", "Ab  ab\tab", None, "", "ünï ünï"]
     seen = {}
