@@ -535,3 +535,13 @@ def test_empty_tables(spark, empty, labels):
         sentencepieces.encoded(empty, data),
     ):
         assert frame.count() == 0
+
+
+def test_bit_table_holds_every_place(spark):
+    bits = 1 << 18
+    places = [0, 1, 7, 8, 32767, 32768, 65535, 65536, bits - 1, 1, *range(100_000, 101_000, 3)]
+    rows = spark.createDataFrame([(p,) for p in places], "place int")
+    table = ngram_join.bit_table(rows, bits)
+    assert table.nbytes == bits // 8
+    assert np.flatnonzero(np.unpackbits(table, bitorder="little")).tolist() == sorted(set(places))
+    assert not ngram_join.bit_table(rows.where("place < 0"), bits).any()
