@@ -149,7 +149,7 @@ def test_join_equals_all_pairs(awkward, frequent, crowd):
     assert Counter(map(tuple, found)) == _components(AWKWARD)
 
 
-def test_join_of_a_large_group_of_near_copies(spark):
+def test_join_of_a_large_group_of_near_copies(spark, monkeypatch):
     base = [f"w{i}" for i in range(150)]
     rows = []
     for i in range(300):
@@ -159,7 +159,8 @@ def test_join_of_a_large_group_of_near_copies(spark):
         rows.append((i, " ".join(words)))
     rows += [(1000 + i, " ".join(base[:20] + [f"o{i}_{j}" for j in range(60)])) for i in range(100)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
-    for limits in ({"frequent": 4}, {"crowd": 20}):
+    for limits, few in (({"frequent": 4}, 32), ({"crowd": 20}, 32), ({"frequent": 4}, 1), ({"frequent": 4}, 1 << 30)):
+        monkeypatch.setattr(ngram_join, "FEW_MEMBERS", few)
         assert Counter(map(tuple, ngram_join.ngram_join(table, **limits).collect())) == _components(rows)
 
 
