@@ -49,7 +49,8 @@ def silver_flights(bronze: DataFrame) -> DataFrame:
 def rejects(bronze: DataFrame) -> DataFrame:
     """Distinct landed rows with a value that silver holds as NULL or as a default.
 
-    Filtering comes before the dedup, so only the flagged rows are shuffled.
+    Filtering comes before the dedup, so only the flagged rows are shuffled; the names of the columns, which follow
+    from the row, are put together once for each row that is left.
     """
-    flagged = business_columns(bronze).withColumn("rejected_columns", parsing.rejected_columns())
-    return flagged.filter(F.col("rejected_columns") != "").dropDuplicates()
+    flagged = business_columns(bronze).filter(parsing.is_rejected()).dropDuplicates()
+    return flagged.withColumn("rejected_columns", parsing.rejected_columns())
