@@ -41,17 +41,19 @@ def _places(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = _table(spark, folder, "supplier").join(
-        _places(spark, folder, "s"), F.col("s_nationkey") == F.col("s_nation")
-    )
-    customers = _table(spark, folder, "customer").join(
-        _places(spark, folder, "c"), F.col("c_nationkey") == F.col("c_nation")
+    """Every join but one is with a table as it is stored, whose size Spark knows: the size of a join it takes for the
+    product of both sides, and would shuffle all lines for a small one.
+    """
+    orders = (
+        _table(spark, folder, "orders")
+        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(_places(spark, folder, "c"), F.col("c_nationkey") == F.col("c_nation"))
     )
-    orders = _table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return (
         _table(spark, folder, "lineitem")
         .join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_places(spark, folder, "s"), F.col("s_nationkey") == F.col("s_nation"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
 
