@@ -21,19 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from faremill.llm.components import components
-from faremill.llm.store import saved, with_text_batches
+from faremill.llm.store import let_go, saved, with_text_batches
 from faremill.llm.words import BLANKS, Block, WordHasher, mixed
 
-#: Cells of the table of estimated token frequencies, and the blocks in which it is added up.
+#: Cells of the table of token frequencies, and the blocks in which it is added up.
 CELLS = 1 << 21
 BLOCK_CELLS = 1 << 16
-#: Documents that the estimates are counted over at most, about.
-SAMPLE_DOCS = 500_000
+#: Tasks whose tables are added up first.
+GROUP_TASKS = 256
 #: Bits of the filter that keeps the sets of documents without a candidate out of the shuffle.
 FILTER_BITS = 1 << 24
 #: A token is frequent from this many estimated documents on, or from this multiple of the mean cell.
@@ -77,6 +78,7 @@ def shingle_sets(block: Block, width: int) -> Iterator[np.ndarray]:
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[object, np.ndarray]]:
     """The columns before the text, the last column, as a tuple, and the shingle set of every row."""
+    let_go()
     hasher = WordHasher(BLANKS, fold_ascii=True)
     for batch in batches:
         ids = list(zip(*(column.to_pylist() for column in batch.columns[:-1])))
@@ -92,46 +94,64 @@ def set_key(tokens: np.ndarray) -> bytes:
     return b"".join(int(half.sum(dtype=np.uint64)).to_bytes(8, "big") for half in halves)
 
 
-def frequency_codes(
-    docs: DataFrame, width: int, parts: int = 16, sample: int = SAMPLE_DOCS
-) -> tuple[np.ndarray, int]:
-    """A monotone one-byte code of the estimated number of documents per cell of token hashes, and where frequent begins.
-
-    Estimates only order tokens, so beyond ``sample`` documents they come from about as many, chosen by a hash of the
-    text; then a task's table is mostly empty and the tables' size does not follow the corpus. Tables are added block by
-    block as a stream, and what reaches the driver is CELLS bytes.
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Part, block and summed cells of tables (part, block, cells) that come sorted; one sum is held at a time."""
+    at, total = None, None
+    for batch in batches:
+        for *key, packed in zip(*(column.to_pylist() for column in batch.columns)):
+            if key != at:
+                if at is not None:
+                    yield *at, total
+                at, total = key, np.zeros(BLOCK_CELLS, np.uint64)
+            total += np.frombuffer(zlib.decompress(packed), np.uint64)
+    if at is not None:
+        yield *at, total
+
+
+def frequency_codes(docs: DataFrame, width: int, parts: int = 16) -> tuple[np.ndarray, int]:
+    """A monotone one-byte code of the number of documents per cell of token hashes, and where frequent begins.
+
+    All documents are counted, each task's in a table of its own. Tables are added block by block as a stream, those of
+    GROUP_TASKS tasks first and their sums after that, so that no task adds up the tables of all; what reaches the driver
+    is CELLS bytes.
     """
-    rows = docs.select("doc_id", "text")
-    total = rows.count()
-    if total > sample:
-        rows = rows.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(total)) < sample)
+
+    def table(part, block, cells):
+        packed = zlib.compress(cells.astype(np.uint64).tobytes(), 1)
+        return pa.RecordBatch.from_pydict(
+            {"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "cells": [packed]}
+        )
 
     def count(batches):
+        part = TaskContext.get().partitionId() // GROUP_TASKS
         cells = np.zeros(CELLS, np.uint32)
         for _, tokens in _sets(batches, width):
             np.add.at(cells, (tokens % np.uint64(CELLS)).astype(np.int64), 1)
-        cells = np.minimum(cells, np.iinfo(np.uint16).max).astype(np.uint16).reshape(-1, BLOCK_CELLS)
+        cells = cells.reshape(-1, BLOCK_CELLS)
         for i in np.flatnonzero(cells.any(axis=1)).tolist():
-            packed = zlib.compress(cells[i].tobytes(), 1)
-            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()), "cells": [packed]})
+            yield table(part, i, cells[i])
 
     def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                cells = np.frombuffer(zlib.decompress(packed), np.uint16)
-                total[block] = total.get(block, 0) + cells.astype(np.uint64)
-        for block, cells in total.items():
+        for _, block, cells in _added(batches):
+            yield table(0, block, cells)
+
+    def finish(batches):
+        for _, block, cells in _added(batches):
             codes = np.minimum(254, np.round(8 * np.log2(1.0 + cells))).astype(np.uint8)
             yield pa.RecordBatch.from_pydict(
                 {"block": pa.array([block], pa.int32()), "codes": [codes.tobytes()], "tokens": [int(cells.sum())]}
             )
 
+    tables = "part int, block int, cells binary"
     found = (
-        with_text_batches(rows)
-        .mapInArrow(count, "block int, cells binary")
+        with_text_batches(docs.select("doc_id", "text"))
+        .mapInArrow(count, tables)
+        .repartition("part", "block")
+        .sortWithinPartitions("part", "block")
+        .mapInArrow(add, tables)
         .repartition(parts, "block")
-        .mapInArrow(add, "block int, codes binary, tokens long")
+        .sortWithinPartitions("block")
+        .mapInArrow(finish, "block int, codes binary, tokens long")
         .collect()
     )
     codes = np.zeros(CELLS, np.uint8)

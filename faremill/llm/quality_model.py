@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from faremill.llm.store import with_text_batches
+from faremill.llm.store import let_go, with_text_batches
 from faremill.llm.words import BLANKS, WordHasher
 
 STATISTICS = (
@@ -129,6 +129,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     names = [f"x{i}" for i in range(len(STATISTICS))]
 
     def work(batches):
+        let_go()
         hasher = WordHasher(BLANKS)
         for batch in batches:
             rows = statistics(batch.column(1).cast(pa.binary()).to_pylist(), hasher)
@@ -206,6 +207,7 @@ def with_scores(docs: DataFrame, model: Discriminant, column: str = "score") ->
     place = docs.columns.index("text")
 
     def work(batches):
+        let_go()
         hasher = WordHasher(BLANKS)
         for batch in batches:
             texts = batch.column(place).cast(pa.binary()).to_pylist()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.llm.store import with_text_batches
+from faremill.llm.store import KEEPERS, with_text_batches
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -173,9 +173,16 @@ def chunk_pattern(model: Model) -> re.Pattern | None:
 @lru_cache(maxsize=1)
 def worker_codec(data: bytes, threads: int) -> Codec:
     """The codec of a worker process; tasks that follow one another there share it and the chunks it knows."""
+    KEEPERS.append(forget_codec)
     return Codec(data, threads)
 
 
+def forget_codec() -> None:
+    """Drops the codec of this worker process, some 100 MB with the chunks it knows."""
+    worker_codec.cache_clear()
+    KEEPERS.remove(forget_codec)
+
+
 class Codec:
     """Encodes batches of texts; remembers chunks it has met, up to KEPT_BYTES."""
 
