@@ -311,7 +311,7 @@ def landing_overlap(spark: SparkSession, folder: str) -> DataFrame:
     warehouse, root = _new_warehouse(spark), scratch_path(spark, "raw")
 
     def drop_in(flights: DataFrame, name: str) -> None:
-        flights.write.options(**landing.CSV_FORMAT).csv(f"{root}/{name}")
+        flights.write.options(**landing.CSV_FORMAT | PACKED).csv(f"{root}/{name}")
 
     with _stored_rows(spark, folder) as rows:
         drop_in(rows, "first")
@@ -323,7 +323,7 @@ def landing_overlap(spark: SparkSession, folder: str) -> DataFrame:
         drop_in(rows, "third")
     for run_id in ("one", "two"):
         pipeline.land(spark, root, warehouse, run_id=run_id)
-    left = landing.scan_files(spark, [root], landing.LANDED_CSV)
+    left = landing.scan_files(spark, [root], landing.LANDED_OR_PACKED)
     landed = {run: landing.read_converted(spark, f"{warehouse.converted}/run_id={run}") for run in ("one", "two")}
     landed["left"] = left.where(F.col(landing.LAYOUT).isNull()).select(*landed["one"].columns)
     counted = [frame.groupBy("Airline").agg(F.count("*").alias("flights")).withColumn("run", F.lit(run)) for run, frame in landed.items()]
